@@ -19,6 +19,7 @@ from assayer.operators import records as R
 from assayer.operators.model import ModelConfig, fit_classifier, fixed_validation_select, predict
 from assayer.operators.scoring import batched_scorer
 from assayer.plans import jobs
+from assayer.session import spread
 from assayer.sources.records import normalize_records, union_splits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,13 +61,13 @@ def blank_predicate(spark, d):
 def json_object_predicate(spark, d):
     in_records = V.rec(spark, d).select(
         F.lit("record").alias("origin"), "record_id",
-        F.coalesce(P.is_json_object(F.col("input_schema")), F.lit(False)).alias("is_object"),
-        P.is_unparsable(F.col("input_schema")).alias("is_unparsable"),
+        F.coalesce(P.is_json_object("input_schema"), F.lit(False)).alias("is_object"),
+        P.is_unparsable("input_schema").alias("is_unparsable"),
     )
     in_events = V.table(spark, d, "events").select(
         F.lit("event").alias("origin"), F.col("event_id").cast("string").alias("record_id"),
-        F.coalesce(P.is_json_object(F.col("props")), F.lit(False)).alias("is_object"),
-        P.is_unparsable(F.col("props")).alias("is_unparsable"),
+        F.coalesce(P.is_json_object("props"), F.lit(False)).alias("is_object"),
+        P.is_unparsable("props").alias("is_unparsable"),
     )
     return in_records.unionByName(in_events)
 
@@ -588,7 +589,8 @@ def early_stop_epoch(spark, d):
 
 def _docs(spark, d):
     """Whole texts."""
-    return V.table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), "text")
+    docs = V.table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), "text")
+    return spread(docs)
 
 
 @query
@@ -628,7 +630,7 @@ def tfidf_weights(spark, d):
 
 
 def _texts(spark, d):
-    return R.with_input_text(V.rec(spark, d)).withColumnRenamed("input_text", "text")
+    return R.with_input_text(spread(V.rec(spark, d))).withColumnRenamed("input_text", "text")
 
 
 def _model(spark, d):
@@ -649,20 +651,20 @@ def logreg_predict(spark, d):
     return predict(_model(spark, d), _texts(spark, d)).select("record_id", "split", "predicted_category")
 
 
-def load_word_scorer():
+@query
+def batched_scorer_labels(spark, d):
     """A small user-supplied scorer: how often each label's word occurs."""
-    patterns = [re.compile(re.escape(w)) for w in V.SCORE_WORDS]
+    words = V.SCORE_WORDS
 
-    def score(texts):
-        return np.array([[len(p.findall(t.lower())) for p in patterns] for t in texts], dtype=float)
+    def load():
+        patterns = [re.compile(re.escape(w)) for w in words]
 
-    return score
+        def score(texts):
+            return np.array([[len(p.findall(t.lower())) for p in patterns] for t in texts], dtype=float)
 
+        return score
 
-@query
-def batched_scorer_labels(spark, d):
-    docs = V.table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), "text")
-    return batched_scorer(docs, "text", load_word_scorer)
+    return batched_scorer(_docs(spark, d), "text", load)
 
 
 @query

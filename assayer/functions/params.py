@@ -5,22 +5,19 @@ structs: the array has exactly two elements, the first one not null, if and only
 the text is one JSON object with nothing after it. ``properties`` is a map because a
 map keeps document order, and its values are variants because a variant keeps the JSON
 type of each value.
+
+The expressions are SQL text over column names: they nest deeply, and one parsed text
+costs the driver a fraction of what the same tree costs when built call by call.
+``get(transform(array(x), v -> ...), 0)`` evaluates ``x`` once and names it ``v``; common
+subexpressions are not shared inside lambdas.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from assayer.functions.binding import let
-from assayer.functions.text import (
-    PARAM_DESCRIPTION_CHARS,
-    collapse_ws,
-    is_blank,
-    truncate,
-)
+from assayer.functions.text import PARAM_DESCRIPTION_CHARS, WS_CLASS, is_blank
 
 # How many parameters and enum values are shown.
 MAX_PARAMS = 12
@@ -30,172 +27,159 @@ MAX_ENUM_VALUES = 6
 NO_PARAMETERS = "no parameters"
 UNPARSABLE = "unparsable schema"
 
-_JSON_OPTIONS = {"allowSingleQuotes": "false"}
+
+def _let(value: str, name: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _single_object(raw: str, fields: str) -> str:
+    parsed = (
+        f"from_json(concat('[', {raw}, ',{{}}]'), 'array<struct<{fields}>>',"
+        " map('allowSingleQuotes', 'false'))"
+    )
+    return _let(parsed, "p", "case when size(p) = 2 then get(p, 0) end")
 
 
-def _single_object(raw: Column, fields: str) -> Column:
-    wrapped = F.concat(F.lit("["), raw, F.lit(",{}]"))
-    parsed = F.from_json(wrapped, f"array<struct<{fields}>>", _JSON_OPTIONS)
-    return F.when(F.size(parsed) == 2, F.get(parsed, F.lit(0)))
+def _schema(raw: str) -> str:
+    return _single_object(raw, "properties: map<string, variant>, required: variant")
 
 
-def is_json_object(raw: Column) -> Column:
+def is_json_object(raw: str) -> Column:
     """True when the text is one JSON object. Reads no field, so nothing is copied."""
-    return _single_object(raw, "`_`: variant").isNotNull()
+    return F.expr(f"{_single_object(raw, '`_`: variant')} is not null")
 
 
-def is_unparsable(raw: Column) -> Column:
+def is_unparsable(raw: str) -> Column:
     """Non-blank text that is not a JSON object; blank text does not count."""
-    return ~is_blank(raw) & ~is_json_object(raw)
+    return ~is_blank(F.col(raw)) & ~is_json_object(raw)
 
 
-def parse_schema(raw: Column) -> Column:
+def parse_schema(raw: str) -> Column:
     """``struct<properties: map<string, variant>, required: variant>`` or null."""
-    return _single_object(raw, "properties: map<string, variant>, required: variant")
+    return F.expr(_schema(raw))
 
 
-def property_entries(schema: Column) -> Column:
-    """``array<struct<key, value>>`` in document order.
-
-    A repeated name keeps its first place and its last value.
-    """
-    props = schema["properties"]
-    entries = F.map_entries(props)
-    names = F.map_keys(props)
-    unique = F.array_distinct(names)
-    deduped = F.transform(
-        unique,
-        lambda k: F.struct(
-            k.alias("key"),
-            F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
-        ),
+def _entries(schema: str) -> str:
+    """``array<struct<key, value>>``; a repeated name keeps its first place and last value."""
+    last = (
+        f"transform(array_distinct(map_keys({schema}.properties)), k -> struct(k as key, element_at("
+        f"filter(map_entries({schema}.properties), e -> e.key = k), -1).value as value))"
     )
-    return F.when(F.size(unique) == F.size(names), entries).otherwise(deduped)
+    repeated = (
+        f"size(array_distinct(map_keys({schema}.properties))) < size(map_keys({schema}.properties))"
+    )
+    return f"case when {repeated} then {last} else map_entries({schema}.properties) end"
 
 
-def required_names(schema: Column) -> Column:
+def _required(schema: str) -> str:
     """The string members of ``required``; empty when it is not a list."""
-    members = F.try_variant_get(schema["required"], "$", "array<variant>")
-    names = F.transform(
-        F.filter(members, lambda v: F.schema_of_variant(v) == "STRING"),
-        lambda v: v.cast("string"),
-    )
-    return F.coalesce(names, F.array().cast("array<string>"))
+    members = f"try_variant_get({schema}.required, '$', 'array<variant>')"
+    strings = f"filter({members}, v -> schema_of_variant(v) = 'STRING')"
+    return f"coalesce(transform({strings}, v -> cast(v as string)), cast(array() as array<string>))"
 
 
-def scalar_text(v: Column) -> Column:
-    """One JSON value as shown text: ``True``/``False``/``None``, floats with a point."""
-    kind = F.schema_of_variant(v)
-    text = v.cast("string")
-    whole_float = kind.startswith("DECIMAL") & kind.endswith(",0)") & (F.length(text) < 19)
-    as_double = F.try_variant_get(v, "$", "double")
-    plain = (F.abs(as_double) >= 1e-4) & (F.abs(as_double) < 1e16)
-    # Java writes 1.0E7 from ten million on; the decimal spelling is the plain one.
-    double_text = F.regexp_replace(
-        as_double.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1"
-    )
-    return (
-        F.when(kind == "STRING", text)
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when(kind == "VOID", F.lit("None"))
-        .when(whole_float, F.concat(text, F.lit(".0")))
-        .when((kind == "DOUBLE") & plain, double_text)
-        .otherwise(text)
-    )
-
+def property_entries(schema: str) -> Column:
+    return F.expr(_entries(schema))
 
-@dataclass(frozen=True)
-class ParamParts:
-    """Expressions over one property entry."""
 
-    is_object: Column
-    type_hint: Column
-    required: Column
-    enum_preview: Column
-    description: Column
-    line: Column
+def required_names(schema: str) -> Column:
+    return F.expr(_required(schema))
 
 
-def param_parts(name: Column, spec: Column, required: Column) -> ParamParts:
-    """Describe one property. ``required`` is the array of required names."""
+def _scalar(v: str) -> str:
+    """One JSON value as shown text: ``True``/``False``/``None``, floats with a point."""
+    number = f"try_variant_get({v}, '$', 'double')"
+    # Java writes 1.0E7 from ten million on; the decimal spelling is the plain one.
+    plain = f"regexp_replace(cast(cast({number} as decimal(38,20)) as string), '([.][0-9]+?)0+$', '$1')"
+    return f"""case
+      when schema_of_variant({v}) = 'STRING' then cast({v} as string)
+      when schema_of_variant({v}) = 'BOOLEAN' then initcap(cast({v} as string))
+      when schema_of_variant({v}) = 'VOID' then 'None'
+      when schema_of_variant({v}) like 'DECIMAL(%,0)' and length(cast({v} as string)) < 19
+        then concat(cast({v} as string), '.0')
+      when schema_of_variant({v}) = 'DOUBLE' and abs({number}) >= 1e-4D and abs({number}) < 1e16D
+        then {plain}
+      else cast({v} as string) end"""
+
+
+def _parts(entry: str, required: str) -> dict[str, str]:
+    """SQL for the parts of one property."""
+    spec = f"{entry}.value"
+    is_object = f"coalesce(startswith(schema_of_variant({spec}), 'OBJECT<'), false)"
+
+    def field(key: str) -> str:
+        return f"variant_get({spec}, '$.{key}', 'variant')"
+
+    scalar = _scalar("v")
+    type_hint = f"""case when {is_object} then {_let(field('type'), 't', f'''case
+        when schema_of_variant(t) is null or schema_of_variant(t) = 'VOID' then
+          case when {field('enum')} is not null then 'enum'
+            when {field('oneOf')} is not null or {field('anyOf')} is not null then 'union'
+            else 'any' end
+        when startswith(schema_of_variant(t), 'ARRAY<') then
+          array_join(transform(try_variant_get(t, '$', 'array<variant>'), v -> {scalar}), '|')
+        else {_scalar('t')} end''')} end"""
+    enum_preview = f"""case when {is_object} then {_let(
+        f"try_variant_get({spec}, '$.enum', 'array<variant>')", 'l',
+        f'''case when size(l) > 0 then
+          array_join(transform(slice(l, 1, {MAX_ENUM_VALUES}), v -> {scalar}), ', ') end''')} end"""
+    # Whitespace only at the ends after collapsing, so plain trim is enough.
+    text = f"""case when {is_object} and schema_of_variant({field('description')}) = 'STRING' then
+        nullif(substring(trim(regexp_replace(
+          cast({field('description')} as string), r'{WS_CLASS}+', ' ')), 1, {PARAM_DESCRIPTION_CHARS}), '')
+        end"""
+    return {
+        "is_object": is_object,
+        "type_hint": type_hint,
+        "required": f"array_contains({required}, {entry}.key)",
+        "enum_preview": enum_preview,
+        "description": text,
+    }
+
+
+def _line(name: str, parts: dict[str, str]) -> str:
+    return (
+        f"concat('- ', {name}, ' (', coalesce(concat({parts['type_hint']}, ', '), ''),"
+        f" case when {parts['required']} then 'required' else 'optional' end, ')',"
+        f" coalesce(concat(' enum[', {parts['enum_preview']}, ']'), ''),"
+        f" coalesce(concat(': ', {parts['description']}), ''))"
+    )
 
-    def field(key: str) -> Column:
-        return F.variant_get(spec, f"$.{key}", "variant")
 
-    is_object = F.coalesce(F.schema_of_variant(spec).startswith("OBJECT<"), F.lit(False))
+def param_parts(entry: str, required: str) -> dict[str, Column]:
+    """Columns for one exploded property: its parts under their names."""
+    return {name: F.expr(sql) for name, sql in _parts(entry, required).items()}
 
-    type_value = field("type")
-    type_kind = F.schema_of_variant(type_value)
-    type_list = F.try_variant_get(type_value, "$", "array<variant>")
-    hint_by_keys = (
-        F.when(field("enum").isNotNull(), F.lit("enum"))
-        .when(field("oneOf").isNotNull() | field("anyOf").isNotNull(), F.lit("union"))
-        .otherwise(F.lit("any"))
-    )
-    type_hint = F.when(
-        is_object,
-        F.when(type_kind.isNull() | (type_kind == "VOID"), hint_by_keys)
-        .when(type_kind.startswith("ARRAY<"), F.array_join(F.transform(type_list, scalar_text), "|"))
-        .otherwise(scalar_text(type_value)),
-    )
 
-    enum_list = F.try_variant_get(spec, "$.enum", "array<variant>")
-    enum_preview = F.when(
-        is_object & (F.size(enum_list) > 0),
-        F.array_join(F.transform(F.slice(enum_list, 1, MAX_ENUM_VALUES), scalar_text), ", "),
+def param_line(name: str, required: str, type_hint: str, enum_preview: str, description: str) -> Column:
+    """The shown line from the columns that hold the parts."""
+    return F.expr(
+        _line(name, {"required": required, "type_hint": type_hint,
+                     "enum_preview": enum_preview, "description": description})
     )
 
-    text_value = field("description")
-    text = F.when(F.schema_of_variant(text_value) == "STRING", text_value.cast("string"))
-    description = F.when(
-        is_object & ~is_blank(text), truncate(collapse_ws(text), PARAM_DESCRIPTION_CHARS)
-    )
 
-    is_required = F.array_contains(required, name)
-    need = F.when(is_required, F.lit("required")).otherwise(F.lit("optional"))
-    line = F.concat(
-        F.lit("- "), name, F.lit(" ("),
-        F.coalesce(F.concat(type_hint, F.lit(", ")), F.lit("")), need, F.lit(")"),
-        F.coalesce(F.concat(F.lit(" enum["), enum_preview, F.lit("]")), F.lit("")),
-        F.coalesce(F.concat(F.lit(": "), description), F.lit("")),
+def _overflow(n: str) -> str:
+    return (
+        f"case when {n} > {MAX_PARAMS} then"
+        f" concat('- ... and ', cast({n} - {MAX_PARAMS} as string), ' more parameter(s)') end"
     )
-    return ParamParts(is_object, type_hint, is_required, enum_preview, description, line)
 
 
-def overflow_line(n_params: Column) -> Column:
+def overflow_line(n_params: str) -> Column:
     """The closing line when there are more parameters than are shown, else null."""
-    hidden = n_params - F.lit(MAX_PARAMS)
-    return F.when(
-        hidden > 0,
-        F.concat(F.lit("- ... and "), hidden.cast("string"), F.lit(" more parameter(s)")),
-    )
+    return F.expr(_overflow(n_params))
 
 
-def render_params(raw: Column) -> Column:
+def render_params(raw: str) -> Column:
     """The whole parameter list as text, within the row (no shuffle)."""
-
-    def listing(schema: Column) -> Column:
-        parts = F.struct(
-            property_entries(schema).alias("entries"), required_names(schema).alias("required")
-        )
-        return let(parts, _listing)
-
-    return (
-        F.when(is_blank(raw), F.lit(NO_PARAMETERS))
-        .otherwise(
-            let(
-                parse_schema(raw),
-                lambda schema: F.when(schema.isNull(), F.lit(UNPARSABLE)).otherwise(listing(schema)),
-            )
-        )
+    lines = f"transform(slice(b.entries, 1, {MAX_PARAMS}), e -> {_line('e.key', _parts('e', 'b.required'))})"
+    listing = (
+        f"case when size(b.entries) > 0 then concat_ws('\\n', {lines}, {_overflow('size(b.entries)')})"
+        f" else '{NO_PARAMETERS}' end"
     )
-
-
-def _listing(parts: Column) -> Column:
-    entries, required = parts["entries"], parts["required"]
-    lines = F.transform(
-        F.slice(entries, 1, MAX_PARAMS),
-        lambda e: param_parts(e["key"], e["value"], required).line,
+    bound = _let(f"struct({_entries('s')} as entries, {_required('s')} as required)", "b", listing)
+    parsed = _let(
+        _schema(raw), "s", f"case when s is null then '{UNPARSABLE}' else {bound} end"
     )
-    shown = F.concat_ws("\n", lines, overflow_line(F.size(entries)))
-    return F.when(F.size(entries) > 0, shown).otherwise(F.lit(NO_PARAMETERS))
+    return F.when(is_blank(F.col(raw)), F.lit(NO_PARAMETERS)).otherwise(F.expr(parsed))

@@ -32,7 +32,7 @@ def missing_counts(records: DataFrame) -> DataFrame:
 
 def unparsable_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("split").agg(
-        F.count_if(P.is_unparsable(F.col("input_schema"))).alias("unparsable_schema")
+        F.count_if(P.is_unparsable("input_schema")).alias("unparsable_schema")
     )
 
 
@@ -80,7 +80,7 @@ def audit_columns(records: DataFrame) -> DataFrame:
     The schema text is parsed once per row: the rendered list tells both the text length
     and whether the schema was unparsable.
     """
-    rendered = records.withColumn("_params", P.render_params(F.col("input_schema")))
+    rendered = records.withColumn("_params", P.render_params("input_schema"))
     text = X.input_text(F.col("name"), F.col("description"), F.col("_params"))
     return rendered.select(
         "split",

@@ -28,11 +28,11 @@ def errors_only(scored: DataFrame) -> DataFrame:
 
 
 def with_params_text(records: DataFrame) -> DataFrame:
-    return records.withColumn("params_text", P.render_params(F.col("input_schema")))
+    return records.withColumn("params_text", P.render_params("input_schema"))
 
 
 def with_input_text(records: DataFrame) -> DataFrame:
-    text = X.input_text(F.col("name"), F.col("description"), P.render_params(F.col("input_schema")))
+    text = X.input_text(F.col("name"), F.col("description"), P.render_params("input_schema"))
     return records.withColumn("input_text", text)
 
 
@@ -46,37 +46,38 @@ def params_table(records: DataFrame, keys: Sequence[str] = ("record_id",)) -> Da
     ``position`` counts from 0 and is not capped; a record that is not a JSON object or
     declares nothing gives no rows.
     """
-    parsed = records.select(*keys, P.parse_schema(F.col("input_schema")).alias("_schema"))
+    parsed = records.select(*keys, P.parse_schema("input_schema").alias("_schema"))
     listed = parsed.select(
         *keys,
-        P.property_entries(F.col("_schema")).alias("_entries"),
-        P.required_names(F.col("_schema")).alias("_required"),
+        P.property_entries("_schema").alias("_entries"),
+        P.required_names("_schema").alias("_required"),
     )
     exploded = listed.select(
         *keys, "_required",
         F.size("_entries").cast("bigint").alias("n_params"),
         F.posexplode("_entries").alias("position", "_entry"),
     )
-    parts = P.param_parts(F.col("_entry.key"), F.col("_entry.value"), F.col("_required"))
-    return exploded.select(
+    parts = P.param_parts("_entry", "_required")
+    described = exploded.select(
         *keys,
         F.col("position").cast("bigint").alias("position"),
         "n_params",
         F.col("_entry.key").alias("param"),
-        parts.is_object.alias("is_object"),
-        parts.type_hint.alias("type_hint"),
-        parts.required.alias("required"),
-        parts.enum_preview.alias("enum_preview"),
-        parts.description.alias("param_description"),
-        parts.line.alias("line"),
+        parts["is_object"].alias("is_object"),
+        parts["type_hint"].alias("type_hint"),
+        parts["required"].alias("required"),
+        parts["enum_preview"].alias("enum_preview"),
+        parts["description"].alias("param_description"),
     )
+    line = P.param_line("param", "required", "type_hint", "enum_preview", "param_description")
+    return described.withColumn("line", line)
 
 
 def shown_param_lines(params: DataFrame, keys: Sequence[str] = ("record_id",)) -> DataFrame:
     """The lines that are shown: the first twelve, then one that counts the rest."""
     first = params.filter(F.col("position") < P.MAX_PARAMS).select(*keys, "position", "line")
     rest = params.filter(F.col("position") == P.MAX_PARAMS).select(
-        *keys, "position", P.overflow_line(F.col("n_params")).alias("line")
+        *keys, "position", P.overflow_line("n_params").alias("line")
     )
     return first.unionByName(rest)
 

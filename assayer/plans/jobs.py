@@ -19,6 +19,7 @@ from assayer.operators.records import (
     with_correct,
     with_input_text,
 )
+from assayer.session import spread
 from assayer.sinks import files
 
 
@@ -88,7 +89,7 @@ def train_and_evaluate(
     records: DataFrame, model_path: str, report_path: str, config: ModelConfig = ModelConfig()
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the train split, save the model, score validation, write the metrics."""
-    texts = with_input_text(labelled(records)).withColumnRenamed("input_text", "text")
+    texts = with_input_text(spread(labelled(records))).withColumnRenamed("input_text", "text")
     model = fit_classifier(texts.filter(F.col("split") == "train"), config=config)
     model.write().overwrite().save(model_path)
     scored = predict(model, texts.filter(F.col("split") == "validation"))
@@ -106,7 +107,7 @@ def predict_records(
     """
     if records.isEmpty():
         raise ValueError("no records to score")
-    texts = with_input_text(records).select("ordinal", "record_id", F.col("input_text").alias("text"))
+    texts = with_input_text(spread(records)).select("ordinal", "record_id", F.col("input_text").alias("text"))
     return score(texts).select(
         "ordinal", "record_id", guarded_label(F.col("predicted_category"), labels).alias("category")
     )

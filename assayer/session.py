@@ -31,3 +31,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a CPU-heavy step over a table that arrives in few partitions.
+
+    A small file is read by one task however many cores there are. A table that already
+    has a partition per core, as any large one has, is returned as it is, with no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
