@@ -19,7 +19,7 @@ from assayer.operators.records import (
     with_correct,
     with_input_text,
 )
-from assayer.session import spread
+from assayer.session import materialize, spread
 from assayer.sinks import files
 
 
@@ -119,11 +119,18 @@ def predict_to_csv(
     path: str,
     in_input_order: bool = False,
 ) -> dict[str, float]:
-    """Score and write; returns rows, seconds and rows per second, without a second pass."""
+    """Score and write; returns rows, seconds and rows per second, without a second pass.
+
+    For input order the few scored columns are checkpointed first: sorting samples its input,
+    and the sample must not run the model again.
+    """
     seen = Observation()
     out = predict_records(records, score).observe(seen, F.count(F.lit(1)).alias("rows"))
     start = time.perf_counter()
-    files.write_predictions_csv(out, path, "ordinal" if in_input_order else None)
+    if in_input_order:
+        files.write_predictions_csv(materialize(out), path, "ordinal")
+    else:
+        files.write_predictions_csv(out, path)
     seconds = time.perf_counter() - start
     rows = seen.get["rows"]
     return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCORED_COLUMNS = (
@@ -11,21 +11,26 @@ SCORED_COLUMNS = (
 )
 
 
+def _csv_field(name: str) -> Column:
+    """RFC 4180: quoted only when needed, inner quotes doubled."""
+    value = F.coalesce(F.col(name), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(value.rlike(r'[,"\r\n]'), quoted).otherwise(value)
+
+
 def write_predictions_csv(scored: DataFrame, path: str, order_col: str | None = None) -> None:
-    """``record_id,category`` with a header, doubled quotes and CRLF line ends.
+    """``record_id,category`` with CRLF line ends and the header in every part file.
 
     With ``order_col`` the part files are range-partitioned, so reading them in name
-    order gives input order; without it there is no shuffle.
+    order gives input order; without it there is no shuffle. The lines go through the text
+    writer because the CSV writer turns a newline inside a value into the line end.
     """
     rows = scored.orderBy(order_col) if order_col else scored
-    (
-        rows.select("record_id", "category")
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("lineSep", "\r\n")
-        .csv(path)
-    )
+    line = F.concat_ws(",", _csv_field("record_id"), _csv_field("category"))
+    # The low 33 bits of this id count the rows of one task, that is of one part file.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    text = F.when(first, F.concat(F.lit("record_id,category\r\n"), line)).otherwise(line)
+    rows.select(text.alias("value")).write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def write_scored_jsonl(scored: DataFrame, path: str) -> None:
