@@ -22,6 +22,11 @@ from assayer.plans import jobs
 from assayer.session import spread
 from assayer.sources.records import normalize_records, union_splits
 
+def _rec(spark, d):
+    """The record table for queries that work on whole texts."""
+    return spread(V.rec(spark, d))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -93,7 +98,7 @@ def valid_label_guard(spark, d):
 
 @query
 def leakage_column_drop(spark, d):
-    return R.model_input(V.rec(spark, d), labelled_only=True)
+    return R.model_input(_rec(spark, d), labelled_only=True)
 
 
 @query
@@ -109,7 +114,7 @@ def label_decode_ids(spark, d):
 
 @query
 def feature_projection(spark, d):
-    return R.model_input(V.rec(spark, d))
+    return R.model_input(_rec(spark, d))
 
 
 # --- text -------------------------------------------------------------------------------
@@ -117,14 +122,14 @@ def feature_projection(spark, d):
 
 @query
 def whitespace_normalize(spark, d):
-    return V.rec(spark, d).select(
+    return _rec(spark, d).select(
         "record_id", X.collapse_ws(F.col("description")).alias("description")
     )
 
 
 @query
 def norm_text(spark, d):
-    return V.rec(spark, d).select(
+    return _rec(spark, d).select(
         "record_id", X.norm_text(F.col("name")).alias("name"),
         X.norm_text(F.col("description")).alias("description"),
     )
@@ -132,7 +137,7 @@ def norm_text(spark, d):
 
 @query
 def content_hash(spark, d):
-    return R.with_content_hash(V.rec(spark, d)).select("record_id", "content_hash")
+    return R.with_content_hash(_rec(spark, d)).select("record_id", "content_hash")
 
 
 @query
@@ -148,7 +153,7 @@ def truncate_chars(spark, d):
 
 @query
 def default_text(spark, d):
-    return V.rec(spark, d).select(
+    return _rec(spark, d).select(
         "record_id", X.name_or_default(F.col("name")).alias("name"),
         X.description_or_default(F.col("description")).alias("description"),
     )
@@ -156,7 +161,7 @@ def default_text(spark, d):
 
 @query
 def char_length(spark, d):
-    return R.with_input_text(V.rec(spark, d)).select(
+    return R.with_input_text(_rec(spark, d)).select(
         "record_id", X.char_length(F.col("description")).alias("description_chars"),
         X.char_length(F.col("input_text")).alias("input_text_chars"),
     )
@@ -178,14 +183,14 @@ def pair_key(spark, d):
 
 @query
 def input_text(spark, d):
-    return R.with_input_text(V.rec(spark, d)).select("record_id", "input_text")
+    return R.with_input_text(_rec(spark, d)).select("record_id", "input_text")
 
 
 # --- parameter table --------------------------------------------------------------------
 
 
 def _params(spark, d):
-    return R.params_table(V.rec(spark, d))
+    return R.params_table(_rec(spark, d))
 
 
 @query
@@ -250,7 +255,7 @@ def param_line(spark, d):
 
 @query
 def params_render(spark, d):
-    return R.with_params_text(V.rec(spark, d)).select("record_id", "params_text")
+    return R.with_params_text(_rec(spark, d)).select("record_id", "params_text")
 
 
 # --- numbers ----------------------------------------------------------------------------
@@ -309,15 +314,13 @@ def group_overlap(spark, d):
 
 @query
 def content_overlap(spark, d):
-    return overlap.overlap_counts(R.with_content_hash(V.rec(spark, d)), "content_hash")
+    return overlap.overlap_counts(R.with_content_hash(_rec(spark, d)), "content_hash")
 
 
 @query
 def lookalike_rows(spark, d):
-    hashed = R.with_content_hash(V.rec(spark, d)).select("ordinal", "record_id", "split", "content_hash")
-    like = overlap.lookalikes(hashed, "content_hash").withColumn("lookalike", F.lit(True))
-    clean = overlap.lookalikes(hashed, "content_hash", keep=False).withColumn("lookalike", F.lit(False))
-    return like.unionByName(clean).select("record_id", "split", "lookalike")
+    hashed = R.with_content_hash(_rec(spark, d)).select("ordinal", "record_id", "split", "content_hash")
+    return overlap.mark_lookalikes(hashed, "content_hash").select("record_id", "split", "lookalike")
 
 
 @query
@@ -344,12 +347,12 @@ def group_intersect(spark, d):
 
 @query
 def content_intersect(spark, d):
-    return overlap.shared_keys(R.with_content_hash(V.rec(spark, d)), "content_hash")
+    return overlap.shared_keys(R.with_content_hash(_rec(spark, d)), "content_hash")
 
 
 @query
 def distinct_keys(spark, d):
-    return R.with_content_hash(V.rec(spark, d)).select("split", "content_hash").distinct()
+    return R.with_content_hash(_rec(spark, d)).select("split", "content_hash").distinct()
 
 
 # --- audit ------------------------------------------------------------------------------
@@ -384,7 +387,7 @@ def duplicate_ids(spark, d):
 
 @query
 def exact_duplicates(spark, d):
-    return audit.exact_duplicates(V.rec(spark, d))
+    return audit.exact_duplicates(_rec(spark, d))
 
 
 @query
@@ -394,7 +397,7 @@ def distinct_groups(spark, d):
 
 @query
 def length_stats(spark, d):
-    lengths = R.with_input_text(V.rec(spark, d)).select(
+    lengths = R.with_input_text(_rec(spark, d)).select(
         "split", X.char_length(F.col("description")).alias("description_chars"),
         X.char_length(F.col("input_text")).alias("input_text_chars"),
     )
@@ -404,7 +407,7 @@ def length_stats(spark, d):
 
 @query
 def audit_split(spark, d):
-    stats = audit.audit_splits(V.rec(spark, d))
+    stats = audit.audit_splits(_rec(spark, d))
     return _round(stats, "description_chars_mean", "input_text_chars_mean")
 
 
@@ -442,7 +445,7 @@ def sorted_groups(spark, d):
 
 @query
 def length_percentiles(spark, d):
-    texts = R.with_input_text(V.rec(spark, d))
+    texts = R.with_input_text(_rec(spark, d))
     words = F.size(F.regexp_extract_all(F.lower("description"), F.lit(r"[a-z0-9_]{2,}"), F.lit(0)))
     chars = audit.length_percentiles(
         texts.select(X.char_length(F.col("input_text")).alias("n")), "n", 900
@@ -630,17 +633,17 @@ def tfidf_weights(spark, d):
 
 
 def _texts(spark, d):
-    return R.with_input_text(spread(V.rec(spark, d))).withColumnRenamed("input_text", "text")
+    return R.with_input_text(_rec(spark, d)).withColumnRenamed("input_text", "text")
 
 
-def _model(spark, d):
+def train_model(spark, d):
     return fit_classifier(R.labelled(_texts(spark, d)).filter(F.col("split") == "train"))
 
 
 @query
 def logreg_train(spark, d):
     """Train, then score the validation split: the metrics of the fitted model."""
-    model = _model(spark, d)
+    model = train_model(spark, d)
     held_out = _texts(spark, d).filter(F.col("split") == "validation")
     full = jobs.evaluate(predict(model, held_out))
     return full.select("n_samples", "accuracy", "macro_f1", "weighted_f1")
@@ -648,7 +651,7 @@ def logreg_train(spark, d):
 
 @query
 def logreg_predict(spark, d):
-    return predict(_model(spark, d), _texts(spark, d)).select("record_id", "split", "predicted_category")
+    return predict(train_model(spark, d), _texts(spark, d)).select("record_id", "split", "predicted_category")
 
 
 @query
@@ -669,7 +672,7 @@ def batched_scorer_labels(spark, d):
 
 @query
 def predict_job(spark, d):
-    model = _model(spark, d)
+    model = train_model(spark, d)
     return jobs.predict_records(V.rec(spark, d), lambda t: predict(model, t)).drop("ordinal")
 
 

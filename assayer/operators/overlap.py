@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from assayer.functions.text import pair_key
 from assayer.labels import SPLITS
 from assayer.operators.skew import hot_keys, salted_join
+from assayer.session import materialize
 
 
 def split_pairs(records: DataFrame, splits: Sequence[str] = SPLITS) -> DataFrame:
     """All unordered pairs of the splits that occur, earlier one first."""
     order = F.array(*[F.lit(s) for s in splits])
-    # At most one element per split name.
-    present = records.agg(F.collect_set("split").alias("seen")).select(
+    # Only known names are collected, so there is at most one element per split.
+    present = records.filter(F.col("split").isin(*splits)).agg(F.collect_set("split").alias("seen")).select(
         F.filter(order, lambda s: F.array_contains("seen", s)).alias("seen")
     )
     firsts = present.select("seen", F.posexplode("seen").alias("i", "split_a"))
@@ -74,6 +75,33 @@ def shared_keys(records: DataFrame, key: str, splits: Sequence[str] = SPLITS) ->
     )
 
 
+def held_out_keys(records: DataFrame, key: str, train: str = "train") -> DataFrame:
+    """``key, in_train, rows`` of every key outside ``train``, checkpointed.
+
+    It answers two questions, which keys are shared and which are hot, so it is kept: the
+    keys are far smaller than the texts they were computed from.
+    """
+    is_train = F.col("split") == train
+    per_key = records.groupBy(key).agg(
+        F.max(is_train).alias("in_train"), F.count_if(~is_train).alias("rows")
+    )
+    return materialize(per_key.filter(F.col("rows") > 0))
+
+
+def mark_lookalikes(
+    records: DataFrame, key: str, train: str = "train", salt_from: str = "ordinal"
+) -> DataFrame:
+    """Rows outside ``train`` with ``lookalike``: whether their key also occurs in it.
+
+    The rows of a key with very many copies are spread over salts.
+    """
+    keys = held_out_keys(records, key, train)
+    shared = keys.filter("in_train").select(key, F.lit(True).alias("lookalike"))
+    held_out = records.filter(F.col("split") != train)
+    marked = salted_join(held_out, shared, key, hot_keys(keys, key, "rows"), salt_from, "left")
+    return marked.withColumn("lookalike", F.coalesce("lookalike", F.lit(False)))
+
+
 def lookalikes(
     records: DataFrame,
     key: str,
@@ -81,14 +109,9 @@ def lookalikes(
     salt_from: str = "ordinal",
     keep: bool = True,
 ) -> DataFrame:
-    """Rows outside ``train`` whose key also occurs in it (or, ``keep=False``, does not).
-
-    A key with very many rows is spread over salts, so no task gets all its copies.
-    """
+    """Only the rows outside ``train`` whose key also occurs in it, or (``keep=False``) does not."""
+    keys = held_out_keys(records, key, train)
+    shared = keys.filter("in_train").select(key)
     held_out = records.filter(F.col("split") != train)
-    in_train = records.filter(F.col("split") == train).select(key).distinct()
-    counts = held_out.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    hot = hot_keys(counts, key, "rows")
-    return salted_join(
-        held_out, in_train, key, hot, salt_from, "left_semi" if keep else "left_anti"
-    )
+    how = "left_semi" if keep else "left_anti"
+    return salted_join(held_out, shared, key, hot_keys(keys, key, "rows"), salt_from, how)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assayer.labels import LABELS
 from assayer.operators.records import argmax_id
 from assayer.operators.skew import hot_keys, salted_join
+from assayer.session import materialize
 
 # Groups are placed by hash bucket, so the table of running totals has at most
 # (labels + 1) * BUCKETS rows however many groups there are.
@@ -61,5 +62,6 @@ def assign_splits(
     records: DataFrame, groups: DataFrame, group_col: str = "server_slug", salt_from: str = "record_id"
 ) -> DataFrame:
     """Give every record the split of its group; the rows of a very large group are spread."""
+    groups = materialize(groups)
     hot = hot_keys(groups, group_col, "rows")
     return salted_join(records, groups.select(group_col, "split"), group_col, hot, salt_from)

@@ -292,3 +292,6 @@ def test_lookalikes_partition_the_held_out_rows(spark, records):
     assert like.count() + clean.count() == records.filter("split <> 'train'").count()
     trained = {r.content_hash for r in hashed.filter("split = 'train'").collect()}
     assert all(r.content_hash in trained for r in like.collect())
+    marked = overlap.mark_lookalikes(hashed, "content_hash")
+    assert marked.filter("lookalike").select("record_id").exceptAll(like.select("record_id")).isEmpty()
+    assert marked.filter("not lookalike").select("record_id").exceptAll(clean.select("record_id")).isEmpty()
