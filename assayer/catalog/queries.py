@@ -673,7 +673,7 @@ def batched_scorer_labels(spark, d):
 @query
 def predict_job(spark, d):
     model = train_model(spark, d)
-    return jobs.predict_records(V.rec(spark, d), lambda t: predict(model, t)).drop("ordinal")
+    return jobs.predict_records(_rec(spark, d), lambda t: predict(model, t)).drop("ordinal")
 
 
 @query
