@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayer.functions.text import is_blank
+
 RECORD_SCHEMA = T.StructType(
     [
         T.StructField("record_id", T.StringType()),
@@ -36,23 +38,34 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 
 def read_jsonl_rejects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """The bad lines only, with their file and split: where to look after a failed read."""
+    """``file_path, line_no, line`` of the bad lines: where to look after a failed read.
+
+    A line is numbered by its place in its file split plus the lines of the splits before it.
+    The running sum is over splits, not over lines.
+    """
     fields = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     with_bad = T.StructType([*fields.fields, T.StructField("_bad", T.StringType())])
-    raw = (
-        spark.read.schema(with_bad)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
-        .json(path)
-    )
-    # All fields are referenced, so every one of them is parsed before a line counts as good.
-    parsed = F.struct(*[F.col(name) for name in fields.names])
-    return raw.select(
+    lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.col("_bad").alias("line"),
-        parsed.alias("parsed"),
-    ).filter(F.col("line").isNotNull())
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
+    )
+    split_of_file = Window.partitionBy("file_path").orderBy("block")
+    splits = (
+        lines.groupBy("file_path", "block")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first_row"))
+        .withColumn("before", F.sum("n").over(split_of_file) - F.col("n"))
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    bad = lines.filter(
+        ~is_blank(F.col("line")) & F.from_json("line", with_bad, options)["_bad"].isNotNull()
+    )
+    return bad.join(splits, ["file_path", "block"]).select(
+        "file_path",
+        (F.col("before") + F.col("row") - F.col("first_row") + 1).alias("line_no"),
+        "line",
+    )
 
 
 def with_file_order(df: DataFrame) -> DataFrame:

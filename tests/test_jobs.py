@@ -77,7 +77,8 @@ def test_jsonl_scan(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)malformed"):
         S.load_records(spark, bad).collect()
     rejects = S.read_jsonl_rejects(spark, bad, S.RECORD_SCHEMA).collect()
-    assert [r.line for r in rejects] == ["{oops"] and rejects[0].file_path.endswith("b.jsonl")
+    assert [(r.line_no, r.line) for r in rejects] == [(2, "{oops")]
+    assert rejects[0].file_path.endswith("b.jsonl")
     no_id = write_lines(tmp_path / "c.jsonl", ['{"server_slug":"s"}'])
     with pytest.raises(Exception, match="record_id is missing"):
         S.load_records(spark, no_id).collect()
@@ -96,6 +97,24 @@ def test_file_order_survives_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_reject_line_numbers_over_many_splits(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    want = set()
+    for name, step in (("x", 700), ("y", 450)):
+        lines = [json.dumps({"record_id": str(i), "server_slug": "s" * 40}) for i in range(2000)]
+        for i in range(5, 2000, step):
+            lines[i] = "{bad" if i % 2 else "[1"
+            lines[i - 1] = ""
+            want.add((f"{name}.jsonl", i + 1, lines[i]))
+        write_lines(tmp_path / "many" / f"{name}.jsonl", lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = S.read_jsonl_rejects(spark, str(tmp_path / "many"), S.RECORD_SCHEMA).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(os.path.basename(r.file_path), r.line_no, r.line) for r in rows} == want
+
+
 def test_servers_and_scored_files(spark, tmp_path, records):
     path = write_lines(tmp_path / "s.jsonl", ['{"slug":"x","name":"Read files"}', '{"slug":"y","description":"z"}'])
     servers = S.read_servers(spark, path)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import sys
 import unicodedata
 
@@ -109,3 +110,22 @@ def test_bigrams(spark):
     assert got == [
         ["aa", "bb", "cc", "aa bb", "bb cc"], ["aa"], [], ["aa", "aa", "aa", "aa aa", "aa aa"],
     ]
+
+
+def test_random_texts(spark):
+    pool = SPACES + list("abcXYZ019_-.,;'\"") + list("éÅßñœÆŒĳﬁ½²ΣςИйあア漢한") + [
+        "́", "̧", "​", "\U0001f600", "​", "\x00", "\x7f", "\\", "$1",
+    ]
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(pool, k=rng.randrange(0, 60))) for _ in range(1500)]
+    collapsed = [" ".join(t.split()) for t in texts]
+    assert one(spark, texts, X.collapse_ws) == collapsed
+    assert one(spark, texts, X.norm_text) == [t.lower() for t in collapsed]
+    assert one(spark, texts, X.strip) == [t.strip() for t in texts]
+    assert one(spark, texts, X.is_blank) == [not t.strip() for t in texts]
+    assert one(spark, texts, X.char_length) == [len(t) for t in texts]
+    assert one(spark, texts, TM.tokens) == [expected_tokens(t) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string")
+    hashes = df.orderBy("i").select(X.content_hash(F.col("c"), F.col("c")).alias("h")).collect()
+    want = [hashlib.sha1(f"{t.lower()}||{t.lower()}".encode()).hexdigest() for t in collapsed]
+    assert [r.h for r in hashes] == want
