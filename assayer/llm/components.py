@@ -16,7 +16,7 @@ from assayer.session import materialize
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` of every node that has an edge to another; the root is the least node.
 
-    Loops, repeated edges and nulls are ignored. Without edges the result is empty.
+    Roots are listed with themselves. Loops, repeated edges and nulls are ignored. Without edges the result is empty.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = materialize(pairs.filter("u <> v").distinct())
@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         sign = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if sign[0] == 0 or sign == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
         seen = sign
         # Large star: every neighbour above a node is linked to the least it can see.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
