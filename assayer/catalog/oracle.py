@@ -11,6 +11,7 @@ from assayer.catalog.views import (
     SCORES,
     SERVER_SQL,
 )
+from assayer.labels import LABELS as LABEL_NAMES
 
 # The label set, as a table.
 LABELS = (
@@ -147,12 +148,12 @@ def class_ctes(source: str, true: str = "category", pred: str = "predicted_categ
         case when predicted > 0 then hit / predicted else 0.0 end as precision,
         case when support > 0 then hit / support else 0.0 end as recall,
         case when predicted + support > 0 then 2.0 * hit / (predicted + support) else 0.0 end as f1
-      from (select label_id, label,
-          count(*) filter (where {true} = label) as support,
-          count(*) filter (where {pred} = label) as predicted,
-          cast(count(*) filter (where {true} = label and {pred} = label) as double) as hit
-        from {LABELS} left join {source} on {true} = label or {pred} = label
-        group by label_id, label))"""
+      from (select l.label_id, l.label,
+          count(*) filter (where {true} = l.label) as support,
+          count(*) filter (where {pred} = l.label) as predicted,
+          cast(count(*) filter (where {true} = l.label and {pred} = l.label) as double) as hit
+        from {LABELS} left join {source} on {true} = l.label or {pred} = l.label
+        group by l.label_id, l.label))"""
 
 
 def overlap_sql(source: str, key: str) -> str:
@@ -195,10 +196,12 @@ _STATS = """
 
 _SCORE_LIST = f"[{', '.join(SCORES)}]"
 _ARGMAX = f"list_position({_SCORE_LIST}, list_max({_SCORE_LIST})) - 1"
+_INPUT_ARGMAX = _ARGMAX.replace("(text)", "(input_text)")
+_COUNTS = ", ".join(f"c{i}" for i in range(len(LABEL_NAMES)))
 _ONE_DECIMAL = "cast(printf('%.1f', {x}) as double)"
 _REC_NO_TEXT = ", ".join(f"{e} as {n}" for n, e in REC_COLUMNS.items())
 
-_ERRORS = f"{PRED}, err as (select * from pred where predicted_category <> category)"
+_ERRORS = f"{PRED}, err as (select * from pred where predicted_category is distinct from category)"
 _TOP = f"""{_ERRORS},
     top as (
       select category as true_category, predicted_category, count(*) as n, min(ordinal) as first_seen
@@ -216,7 +219,7 @@ ORACLE: dict[str, str] = {
     f" union all select 'event', cast(event_id as varchar), {is_object('props')}, {unparsable('props')}"
     " from events",
     "correct_flag": f"with {PRED} select record_id, category, predicted_category,"
-    " predicted_category = category as correct from pred",
+    " predicted_category is not distinct from category as correct from pred",
     "error_filter": f"with {_ERRORS} select record_id, category, predicted_category from err",
     "valid_label_guard": f"with {noisy()} select record_id, predicted_category from noisy"
     f" where predicted_category not in (select label from {LABELS})",
@@ -225,7 +228,7 @@ ORACLE: dict[str, str] = {
     "label_encode": f"with {REC} select record_id, category, cast(label_id as bigint) as label_id"
     f" from rec left join {LABELS} on category = label",
     "label_decode": f"with {PRED} select record_id, cast(label_id as bigint) as label_id, label"
-    f" from pred join {LABELS} on predicted_category = label",
+    f" from pred left join {LABELS} on predicted_category = label",
     "feature_projection": f"with {TEXTS} select record_id, input_text as text from texts",
     # --- text
     "whitespace_normalize": f"with {REC} select record_id, {collapse('description')} as description from rec",
@@ -240,7 +243,7 @@ ORACLE: dict[str, str] = {
     "label_word_match": f"""with {SERVER} select ordinal, slug,
       coalesce((select string_agg(lower(label), ',' order by label_id) from {LABELS}
         where contains(lower(name || ' ' || description), lower(label))), '') as matched from server""",
-    "pair_key": f"with {PRED} select record_id, category || '_to_' || predicted_category as pair from pred",
+    "pair_key": f"with {PRED} select record_id, category || '_to_' || coalesce(predicted_category, 'None') as pair from pred",
     "input_text": f"with {TEXTS} select record_id, input_text from texts",
     # --- parameter table
     "params_explode": f"""with {PARAMS}
@@ -387,7 +390,7 @@ ORACLE: dict[str, str] = {
     "confusion_pairs": f"with {_ERRORS} select category as true_category, predicted_category,"
     " count(*) as n, min(ordinal) as first_seen from err group by 1, 2",
     "error_rate": f"""with {PRED} select count(*) as rows,
-        count(*) filter (where category <> predicted_category) as errors,
+        count(*) filter (where category is distinct from predicted_category) as errors,
         round(cast(errors as double) / count(*) * 100.0, 6) as error_pct from pred""",
     "invalid_rate": f"""with {noisy()} select count(*) as n,
         count(*) filter (where predicted_category not in (select label from {LABELS})) as invalid,
@@ -396,7 +399,7 @@ ORACLE: dict[str, str] = {
       other as (select * from (select {_REC_NO_TEXT}, {_ARGMAX} as label_id from documents) t
         join {LABELS} using (label_id) where category is not null),
       a_class as (with {class_ctes('pred').strip()} select * from per_class),
-      b_class as (with {class_ctes('other', pred='other.label').replace('other.label = label', 'other.label = l.label').replace('category = label', 'category = l.label').replace('select label_id, label,' + chr(10) + '          count', 'select l.label_id, l.label,' + chr(10) + '          count').replace('group by label_id, label', 'group by l.label_id, l.label').strip()} select * from per_class),
+      b_class as (with {class_ctes('other', pred='other.label').strip()} select * from per_class),
       vals as (
         select 'accuracy' as metric,
           (select avg(case when category = predicted_category then 1.0 else 0.0 end) from pred) as rule,
@@ -404,20 +407,36 @@ ORACLE: dict[str, str] = {
         union all select 'macro_f1', (select avg(f1) from a_class), (select avg(f1) from b_class)
         union all select 'weighted_f1', (select sum(f1 * support) / sum(support) from a_class),
           (select sum(f1 * support) / sum(support) from b_class)
-        union all select 'errors', (select count(*)::double from pred where category <> predicted_category),
+        union all select 'errors', (select count(*)::double from pred where category is distinct from predicted_category),
           (select count(*)::double from other where category <> label))
       select metric, round(rule, 6) as rule, round(counts, 6) as counts, round(counts - rule, 6) as gap
       from vals""",
     # --- order-dependent
-    "top_pairs": f"with {_TOP} select true_category || '_to_' || predicted_category as pair, * from top",
+    "top_pairs": f"with {_TOP} select true_category || '_to_' || coalesce(predicted_category, 'None') as pair, * from top",
     "pair_examples": f"""with {_TOP}, ranked as (
-        select true_category || '_to_' || top.predicted_category as pair, ordinal, record_id,
+        select true_category || '_to_' || coalesce(top.predicted_category, 'None') as pair, ordinal, record_id,
           server_slug, name, substr(description, 1, 400) as description,
           row_number() over (partition by true_category, top.predicted_category order by ordinal)
             as example_no
-        from err join top on category = true_category and err.predicted_category = top.predicted_category)
+        from err join top on category = true_category
+          and err.predicted_category is not distinct from top.predicted_category)
       select * from ranked where example_no <= 6""",
     "head_sample": f"with {REC} select ordinal, record_id, category from rec order by ordinal limit 100",
+    "batched_scorer": f"select doc_id as record_id, label as predicted_category"
+    f" from (select doc_id, {_ARGMAX} as label_id from documents) t join {LABELS} using (label_id)",
+    "predict_job": f"""with {TEXTS}, s as (select record_id, {_INPUT_ARGMAX} as label_id from texts)
+      select record_id, label as category from s join {LABELS} using (label_id)""",
+    "group_stratified_split": f"""with {REC}, h as (
+        select server_slug, {', '.join(f"count(*) filter (where category = '{label}') as c{i}" for i, label in enumerate(LABEL_NAMES))},
+          count(*) as n from rec group by 1),
+      g as (select server_slug, n, case when greatest({_COUNTS}) = 0 then -1
+          else list_position([{_COUNTS}], greatest({_COUNTS})) - 1 end as stratum,
+          substr(md5('20260801' || server_slug), 1, 3) as bucket from h),
+      b as (select stratum, bucket, sum(n) as n from g group by 1, 2),
+      p as (select stratum, bucket, (sum(n) over (partition by stratum order by bucket) - n / 2.0)
+          / sum(n) over (partition by stratum) as spot from b)
+      select server_slug, case when spot < 0.7 then 'train' when spot < 0.85 then 'validation' else 'test' end
+        as split, cast(g.n as bigint) as rows from g join p using (stratum, bucket)""",
     "argmax_label": f"select cast(doc_id as varchar) as record_id, cast({_ARGMAX} as bigint) as label_id"
     " from documents",
     "best_epoch": f"""with e as ({EPOCHS_SQL}), r as (

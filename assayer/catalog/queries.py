@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
@@ -19,12 +18,12 @@ from assayer.operators import records as R
 from assayer.operators.model import ModelConfig, fit_classifier, fixed_validation_select, predict
 from assayer.operators.scoring import batched_scorer
 from assayer.plans import jobs
-from assayer.session import spread
+from assayer.session import materialize
 from assayer.sources.records import normalize_records, union_splits
 
 def _rec(spark, d):
     """The record table for queries that work on whole texts."""
-    return spread(V.rec(spark, d))
+    return V.spread(V.rec(spark, d))
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,7 +318,9 @@ def content_overlap(spark, d):
 
 @query
 def lookalike_rows(spark, d):
-    hashed = R.with_content_hash(_rec(spark, d)).select("ordinal", "record_id", "split", "content_hash")
+    hashed = materialize(
+        R.with_content_hash(_rec(spark, d)).select("ordinal", "record_id", "split", "content_hash")
+    )
     return overlap.mark_lookalikes(hashed, "content_hash").select("record_id", "split", "lookalike")
 
 
@@ -447,14 +448,12 @@ def sorted_groups(spark, d):
 def length_percentiles(spark, d):
     texts = R.with_input_text(_rec(spark, d))
     words = F.size(F.regexp_extract_all(F.lower("description"), F.lit(r"[a-z0-9_]{2,}"), F.lit(0)))
-    chars = audit.length_percentiles(
-        texts.select(X.char_length(F.col("input_text")).alias("n")), "n", 900
-    )
-    tokens_ = audit.length_percentiles(texts.select(words.cast("bigint").alias("n")), "n", 320)
-    both = chars.withColumn("measure", F.lit("input_text_chars")).unionByName(
-        tokens_.withColumn("measure", F.lit("description_words"))
+    measures = [("input_text_chars", X.char_length(F.col("input_text")), 900), ("description_words", words.cast("bigint"), 320)]
+    cells = F.array(
+        *[F.struct(F.lit(m).alias("measure"), n.alias("n"), F.lit(limit).alias("limit")) for m, n, limit in measures]
     )
-    return _round(both, "p95", "p99", "share_within")
+    lengths = texts.select(F.explode(cells).alias("c")).select("c.*")
+    return _round(audit.length_percentiles(lengths, "n", F.col("limit"), by=["measure"]), "p95", "p99", "share_within")
 
 
 # --- metrics ----------------------------------------------------------------------------
@@ -593,7 +592,7 @@ def early_stop_epoch(spark, d):
 def _docs(spark, d):
     """Whole texts."""
     docs = V.table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), "text")
-    return spread(docs)
+    return V.spread(docs)
 
 
 @query
@@ -654,26 +653,29 @@ def logreg_predict(spark, d):
     return predict(train_model(spark, d), _texts(spark, d)).select("record_id", "split", "predicted_category")
 
 
-@query
-def batched_scorer_labels(spark, d):
+def _word_scorer():
     """A small user-supplied scorer: how often each label's word occurs."""
     words = V.SCORE_WORDS
 
+    # Nested, so that it is shipped by value.
     def load():
-        patterns = [re.compile(re.escape(w)) for w in words]
-
         def score(texts):
-            return np.array([[len(p.findall(t.lower())) for p in patterns] for t in texts], dtype=float)
+            return np.array([[t.count(w) for w in words] for t in map(str.lower, texts)], dtype=float)
 
         return score
 
-    return batched_scorer(_docs(spark, d), "text", load)
+    return load
+
+
+@query
+def batched_scorer_labels(spark, d):
+    return batched_scorer(_docs(spark, d), "text", _word_scorer())
 
 
 @query
 def predict_job(spark, d):
-    model = train_model(spark, d)
-    return jobs.predict_records(_rec(spark, d), lambda t: predict(model, t)).drop("ordinal")
+    score = lambda texts: batched_scorer(texts, "text", _word_scorer())
+    return jobs.predict_records(_rec(spark, d), score).drop("ordinal")
 
 
 @query
@@ -691,7 +693,7 @@ def fixed_validation_select_c(spark, d):
 def group_stratified_split(spark, d):
     shares = [("train", 0.7), ("validation", 0.15), ("test", 0.15)]
     records = V.rec(spark, d)
-    groups = splitting.group_stratified_split(records, shares, seed=20260714)
+    groups = splitting.group_stratified_split(records, shares, seed=20260801)
     assigned = splitting.assign_splits(
         records.select("record_id", "server_slug", "category"), groups
     )

@@ -22,7 +22,9 @@ _FOURTEEN = ",".join(
 # What each input_schema looks like, by doc_id % 11.
 _SCHEMA = f"""case doc_id % 11
  when 0 then ''
- when 1 then '{{"a":'
+ when 1 then case doc_id % 55 when 1 then '{{"a":' when 12 then '{{}},{{}}]'
+   when 23 then '{{"properties":{{"a":{{}}}},{{}}] junk' when 34 then '{{}},{{}}] [1'
+   else concat('{{"a":1}}', chr(10), ',{{"b":2}}]') end
  when 2 then '[1]'
  when 3 then '{{}}'
  when 4 then concat('{{"properties":{{{_FOURTEEN}}},"required":["p2","p13"]}}')
@@ -88,7 +90,8 @@ def _sql(columns: dict[str, str], table: str) -> str:
 
 REC_SQL = _sql(REC_COLUMNS, "documents")
 SERVER_SQL = _sql(SERVER_COLUMNS, "documents")
-PRED_COLUMNS = {**REC_COLUMNS, "predicted_category": RULE}
+# Some records have no prediction at all.
+PRED_COLUMNS = {**REC_COLUMNS, "predicted_category": f"case when doc_id % 41 = 0 then null else {RULE} end"}
 PRED_SQL = f"select * from ({_sql(PRED_COLUMNS, 'documents')}) t where category is not null"
 EPOCHS_SQL = (
     "select run, epoch, avg(value) / 100 as macro_f1 from ("
@@ -141,3 +144,13 @@ def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("run"), F.dayofmonth("ts").cast("bigint").alias("epoch"), "value"
     )
     return events.groupBy("run", "epoch").agg((F.avg("value") / 100).alias("macro_f1"))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for CPU-heavy work on a scanned table that arrives in few partitions.
+
+    Serves the small test tables only, whose single row group is read by one task however many
+    cores there are; the engine itself never calls it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

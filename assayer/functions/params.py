@@ -1,8 +1,9 @@
 """JSON-Schema text to parameter descriptions, as native expressions.
 
-The text is parsed once. It is wrapped as ``[text,{}]`` and read as an array of
-structs: the array has exactly two elements, the first one not null, if and only if
-the text is one JSON object with nothing after it. ``properties`` is a map because a
+The text is parsed once. It is wrapped as ``[text,{mark}]`` and read as an array of
+structs. The mark holds the text's own SHA-1, which no text can contain, so the array has
+exactly two elements, the first not null and the second the mark, if and only if the text is
+one JSON object with nothing after it: a text that closes the array itself loses the mark. ``properties`` is a map because a
 map keeps document order, and its values are variants because a variant keeps the JSON
 type of each value.
 
@@ -27,6 +28,8 @@ MAX_ENUM_VALUES = 6
 NO_PARAMETERS = "no parameters"
 UNPARSABLE = "unparsable schema"
 
+_MARK = "_sha1_of_the_text"
+
 
 def _let(value: str, name: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
@@ -34,10 +37,12 @@ def _let(value: str, name: str, body: str) -> str:
 
 def _single_object(raw: str, fields: str) -> str:
     parsed = (
-        f"from_json(concat('[', {raw}, ',{{}}]'), 'array<struct<{fields}>>',"
-        " map('allowSingleQuotes', 'false'))"
+        f"from_json(concat('[', {raw}, ',{{\"{_MARK}\":\"', sha1({raw}), '\"}}]'),"
+        f" 'array<struct<{fields}, `{_MARK}`: string>>', map('allowSingleQuotes', 'false'))"
+    )
+    return _let(
+        parsed, "p", f"case when size(p) = 2 and get(p, 1).`{_MARK}` = sha1({raw}) then get(p, 0) end"
     )
-    return _let(parsed, "p", "case when size(p) = 2 then get(p, 0) end")
 
 
 def _schema(raw: str) -> str:

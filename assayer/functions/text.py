@@ -57,6 +57,11 @@ def content_hash(name: Column, description: Column) -> Column:
     return F.sha1(F.concat_ws("||", norm_text(name), norm_text(description)))
 
 
+def hash_normalised(name: Column, description: Column) -> Column:
+    """:func:`content_hash` of texts whose white space is collapsed already."""
+    return F.sha1(F.concat_ws("||", F.lower(name), F.lower(description)))
+
+
 def truncate(c: Column, n: int) -> Column:
     """The first ``n`` code points."""
     return F.substring(c, 1, n)
@@ -84,14 +89,18 @@ def label_words_in(*parts: Column, labels: Sequence[str] = LABELS) -> Column:
 
 
 def pair_key(a: Column, b: Column, joiner: str) -> Column:
-    """``a_<joiner>_b``, e.g. ``Read_to_Write`` or ``train_vs_test``."""
-    return F.concat(a, F.lit(f"_{joiner}_"), b)
+    """``a_<joiner>_b``, e.g. ``Read_to_Write`` or ``train_vs_test``; a missing label is ``None``."""
+    none = F.lit("None")
+    return F.concat(F.coalesce(a, none), F.lit(f"_{joiner}_"), F.coalesce(b, none))
 
 
 def input_text(name: Column, description: Column, params: Column) -> Column:
     """The one text per record that every model sees. The group key is no part of it."""
+    return compose_text(name_or_default(name), description_or_default(description), params)
+
+
+def compose_text(name: Column, description: Column, params: Column) -> Column:
+    """:func:`input_text` from parts as they are shown."""
     return F.concat(
-        F.lit("Tool name: "), name_or_default(name),
-        F.lit("\nDescription: "), description_or_default(description),
-        F.lit("\nParameters:\n"), params,
+        F.lit("Tool name: "), name, F.lit("\nDescription: "), description, F.lit("\nParameters:\n"), params
     )

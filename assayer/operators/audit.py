@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from assayer.functions import text as X
 from assayer.functions.numeric import round_half_even_1dp, share_pct
 from assayer.labels import LABELS, SPLITS, label_dim, label_id
 from assayer.operators.records import label_word_hits, labelled, with_content_hash
+from assayer.session import materialize
 
 
 def split_rows(records: DataFrame) -> DataFrame:
@@ -77,18 +79,26 @@ def _length_aggs(measure: str) -> list[Column]:
 def audit_columns(records: DataFrame) -> DataFrame:
     """The narrow row the audit aggregates: flags, lengths and keys; no text leaves the scan.
 
-    The schema text is parsed once per row: the rendered list tells both the text length
-    and whether the schema was unparsable.
+    The schema text is parsed once per row: the rendered list tells both the text length and
+    whether the schema was unparsable. White space is collapsed once per text, too: the hash,
+    the shown description and the blank flags all come from the collapsed text.
     """
-    rendered = records.withColumn("_params", P.render_params("input_schema"))
-    text = X.input_text(F.col("name"), F.col("description"), F.col("_params"))
-    return rendered.select(
+    collapsed = records.withColumns({
+        "_params": P.render_params("input_schema"),
+        "_name": X.collapse_ws(F.coalesce("name", F.lit(""))),
+        "_description": X.collapse_ws(F.coalesce("description", F.lit(""))),
+    })
+    shown = F.when(F.col("_description") == "", F.lit(X.NO_DESCRIPTION)).otherwise(
+        X.truncate(F.col("_description"), X.DESCRIPTION_CHARS)
+    )
+    text = X.compose_text(X.name_or_default(F.col("name")), shown, F.col("_params"))
+    return collapsed.select(
         "split",
         "server_slug",
         "record_id",
-        F.unhex(X.content_hash(F.col("name"), F.col("description"))).alias("content"),
-        X.is_blank(F.col("name")).alias("no_name"),
-        X.is_blank(F.col("description")).alias("no_description"),
+        F.unhex(X.hash_normalised(F.col("_name"), F.col("_description"))).alias("content"),
+        (F.col("_name") == "").alias("no_name"),
+        (F.col("_description") == "").alias("no_description"),
         X.is_blank(F.col("input_schema")).alias("no_schema"),
         (F.col("_params") == P.UNPARSABLE).alias("bad_schema"),
         X.char_length(F.col("description")).alias("description_chars"),
@@ -96,26 +106,71 @@ def audit_columns(records: DataFrame) -> DataFrame:
     )
 
 
-def audit_splits(records: DataFrame) -> DataFrame:
-    """One row per split with every counter, from one scan.
+def key_facts(rows: DataFrame, key: str, splits: Sequence[str] = SPLITS) -> DataFrame:
+    """One row: ``distinct`` keys per split and ``shared`` keys per pair of splits, as arrays.
 
-    The three distinct counts share the scan and one shuffle: Spark expands each row per
-    distinct key, so the shuffle carries keys only, and a hot group or a large set of
-    copies is reduced map-side.
+    Each key collapses map-side to its row count per split, so a key that fills a third of the
+    table costs one row per task, and every question about keys is answered by one shuffle.
     """
+    per_key = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.count_if(F.col("split") == s).alias(f"_{i}") for i, s in enumerate(splits)]
+    )
+    has = [F.col(f"_{i}") > 0 for i in range(len(splits))]
+    distinct = [F.count_if(has[i]) for i in range(len(splits))]
+    shared = [
+        F.struct(
+            F.lit(f"{splits[i]}_vs_{splits[j]}").alias("pair"), F.count_if(has[i] & has[j]).alias("overlap")
+        )
+        for i, j in combinations(range(len(splits)), 2)
+    ]
+    return per_key.agg(
+        F.array(*[F.struct(F.lit(s).alias("split"), n.alias("n")) for s, n in zip(splits, distinct)]).alias("distinct"),
+        (F.array(*shared) if shared else F.array()).alias("shared"),
+    )
+
+
+def audit_rows(
+    narrow: DataFrame, splits: Sequence[str], servers: DataFrame, contents: DataFrame
+) -> DataFrame:
+    """One row per split asked for, from :func:`audit_columns` rows and the facts of two keys."""
     rows = F.count(F.lit(1))
-    return audit_columns(records).groupBy("split").agg(
+    counters = narrow.groupBy("split").agg(
         rows.alias("rows"),
-        F.count_distinct("server_slug").alias("servers"),
         F.count_if("no_name").alias("missing_name"),
         F.count_if("no_description").alias("missing_description"),
         F.count_if("no_schema").alias("empty_schema"),
         F.count_if("bad_schema").alias("unparsable_schema"),
-        (rows - F.count_distinct("record_id")).alias("duplicate_record_ids"),
-        (rows - F.count_distinct("content")).alias("exact_duplicates"),
         *_length_aggs("description_chars"),
         *_length_aggs("input_text_chars"),
     )
+    asked = narrow.sparkSession.createDataFrame([(s,) for s in splits], "split string")
+    out = asked.join(F.broadcast(counters), "split", "left")
+    ids = key_facts(narrow, "record_id", splits)
+    for name, facts in (("_servers", servers), ("_ids", ids), ("_contents", contents)):
+        per_split = facts.select(F.explode("distinct").alias("f")).select("f.split", F.col("f.n").alias(name))
+        # One row per split on both sides.
+        out = out.join(F.broadcast(per_split), "split", "left")
+    n = F.coalesce("rows", F.lit(0))
+    zero = [c for c in counters.columns if c not in ("split", "rows")]
+    return out.select(
+        "split",
+        n.alias("rows"),
+        F.col("_servers").alias("servers"),
+        *[F.coalesce(c, F.lit(0.0 if c.endswith("_mean") else 0)).alias(c) for c in zero[:4]],
+        (n - F.col("_ids")).alias("duplicate_record_ids"),
+        (n - F.col("_contents")).alias("exact_duplicates"),
+        *[F.coalesce(c, F.lit(0.0 if c.endswith("_mean") else 0)).alias(c) for c in zero[4:]],
+    )
+
+
+def audit_splits(records: DataFrame, splits: Sequence[str] = SPLITS) -> DataFrame:
+    """One row per split asked for with every counter; a split without records counts zeros.
+
+    The records are scanned once. Their narrow rows are checkpointed, since each kind of key is
+    counted by an aggregate of its own, which combines map-side.
+    """
+    narrow = materialize(audit_columns(records.filter(F.col("split").isin(*splits))))
+    return audit_rows(narrow, splits, key_facts(narrow, "server_slug", splits), key_facts(narrow, "content", splits))
 
 
 def label_share(
@@ -184,18 +239,24 @@ def first_hits(servers: DataFrame, n: int = 10) -> DataFrame:
     return hits.select("ordinal", "slug", "matched").orderBy("ordinal").limit(n)
 
 
-def length_percentiles(lengths: DataFrame, length_col: str, limit: int) -> DataFrame:
-    """Exact p95, p99 and the share of rows within ``limit``.
+def length_percentiles(
+    lengths: DataFrame, length_col: str, limit: int | Column, by: Sequence[str] = ()
+) -> DataFrame:
+    """Exact p95, p99 and the share of rows within ``limit``, per group of ``by``.
 
     Equal lengths are counted first, so what reaches the last task is bounded by the
     number of different lengths and not by the number of rows.
     """
-    per_length = lengths.groupBy(F.col(length_col).alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    bound = limit if isinstance(limit, Column) else F.lit(limit)
+    per_length = lengths.groupBy(*by, F.col(length_col).alias("length"), bound.alias("_limit")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     points = F.expr("percentile(length, array(0.95D, 0.99D), n)")
-    within = F.sum(F.when(F.col("length") <= limit, F.col("n")).otherwise(0))
-    return per_length.agg(
+    within = F.sum(F.when(F.col("length") <= F.col("_limit"), F.col("n")).otherwise(0))
+    return per_length.groupBy(*by).agg(
         points.alias("p"), F.sum("n").alias("rows"), within.alias("within")
     ).select(
+        *by,
         "rows",
         F.get("p", F.lit(0)).alias("p95"),
         F.get("p", F.lit(1)).alias("p99"),

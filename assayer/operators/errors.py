@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from assayer.functions.numeric import share_pct
 from assayer.functions.text import EXAMPLE_DESCRIPTION_CHARS, pair_key, truncate
-from assayer.operators.records import errors_only
+from assayer.operators.records import errors_only, is_error
 
 _PAIR = ("true_category", "predicted_category")
 
 
 def error_rate(scored: DataFrame) -> DataFrame:
-    wrong = F.count_if(~F.col("correct"))
+    wrong = F.count_if(is_error())
     return scored.agg(
         F.count(F.lit(1)).alias("rows"),
         wrong.alias("errors"),
@@ -40,15 +40,15 @@ def pair_examples(scored: DataFrame, k: int = 10, n: int = 6) -> DataFrame:
     Descriptions are cut before the shuffle, and Spark keeps at most ``n`` rows per pair
     and task ahead of it (WindowGroupLimit), so a pair with very many errors is cheap.
     """
-    top = top_pairs(scored, k).select("pair", *_PAIR)  # at most k rows
+    top = top_pairs(scored, k).select("pair")  # at most k rows
     narrow = errors_only(scored).select(
         "ordinal", "record_id", "server_slug", "name",
-        truncate(F.col("description"), EXAMPLE_DESCRIPTION_CHARS).alias("description"), *_PAIR,
+        truncate(F.col("description"), EXAMPLE_DESCRIPTION_CHARS).alias("description"),
+        pair_key(*[F.col(c) for c in _PAIR], "to").alias("pair"),
     )
     order = Window.partitionBy("pair").orderBy("ordinal")
     return (
-        narrow.join(F.broadcast(top), list(_PAIR), "inner")
-        .drop(*_PAIR)
+        narrow.join(F.broadcast(top), "pair", "inner")
         .withColumn("example_no", F.row_number().over(order))
         .filter(F.col("example_no") <= n)
         .withColumn("example_no", F.col("example_no").cast("bigint"))

@@ -93,7 +93,8 @@ def mark_lookalikes(
 ) -> DataFrame:
     """Rows outside ``train`` with ``lookalike``: whether their key also occurs in it.
 
-    The rows of a key with very many copies are spread over salts.
+    ``records`` is read twice, so hand in a narrow checkpointed table, not whole texts. The
+    rows of a key with very many copies are spread over salts.
     """
     keys = held_out_keys(records, key, train)
     shared = keys.filter("in_train").select(key, F.lit(True).alias("lookalike"))

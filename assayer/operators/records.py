@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions import params as P
@@ -20,11 +20,18 @@ def labelled(records: DataFrame) -> DataFrame:
 
 
 def with_correct(scored: DataFrame, true_col: str, pred_col: str) -> DataFrame:
-    return scored.withColumn("correct", F.col(pred_col) == F.col(true_col))
+    """Add ``correct``; a labelled row without a prediction is wrong, an unlabelled one is null."""
+    hit = F.col(pred_col).eqNullSafe(F.col(true_col))
+    return scored.withColumn("correct", F.when(F.col(true_col).isNotNull(), hit))
+
+
+def is_error() -> Column:
+    """Whatever is not known to be correct."""
+    return ~F.coalesce("correct", F.lit(False))
 
 
 def errors_only(scored: DataFrame) -> DataFrame:
-    return scored.filter(~F.col("correct"))
+    return scored.filter(is_error())
 
 
 def with_params_text(records: DataFrame) -> DataFrame:
@@ -112,14 +119,49 @@ def guarded_label(pred: Column, labels: Sequence[str] = LABELS) -> Column:
     return F.when(F.coalesce(pred.isin(*labels), F.lit(False)), pred).otherwise(F.raise_error(message))
 
 
+def guard_predictions(
+    scored: DataFrame, pred_col: str, order_col: str = "ordinal", labels: Sequence[str] = LABELS, samples: int = 5
+) -> DataFrame:
+    """``scored`` itself; rows with a prediction outside the label set are an error.
+
+    The message holds their number and the first ``samples`` of them, all from one aggregate.
+    Hand in rows that are cheap to read twice: a checkpoint or a table.
+    """
+    bad = ~F.coalesce(F.col(pred_col).isin(*labels), F.lit(False))
+    wrong = scored.filter(bad).select(order_col, "record_id", F.col(pred_col).alias("predicted"))
+    n = wrong.count()
+    if n:
+        # At most ``samples`` rows reach the driver.
+        first = [(r["record_id"], r["predicted"]) for r in wrong.orderBy(order_col).limit(samples).collect()]
+        raise ValueError(f"{n} predictions outside the label set, first: {first}")
+    return scored
+
+
 def argmax_id(scores: Column) -> Column:
     """Position of the highest score, ties to the lowest position."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("bigint")
 
 
 def attach_predictions(records: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Join by ``record_id``; both sides hold it once (see :func:`alignment`)."""
-    return records.join(predictions, "record_id", "inner")
+    """Join by ``record_id``, which both sides must hold, and hold once.
+
+    An id that repeats, lacks a partner or is null fails the job while it runs: the sides are joined in
+    full and the checks read the joined rows, in the shuffle of the join.
+    """
+    once = Window.partitionBy("record_id").orderBy("record_id")
+    left = records.withColumn("_n", F.row_number().over(once))
+    right = predictions.withColumnRenamed("record_id", "_id").withColumn("_in", F.lit(True))
+    right = right.withColumn("_m", F.row_number().over(Window.partitionBy("_id").orderBy("_id")))
+    joined = left.join(right, F.col("record_id") == F.col("_id"), "full")
+    named = F.coalesce(F.col("record_id"), F.col("_id"), F.lit("null"))
+    problem = (
+        F.when((F.col("_n") > 1) | (F.col("_m") > 1), F.concat(F.lit("repeated record_id: "), named))
+        .when(F.col("_in").isNull(), F.concat(F.lit("record without a prediction: "), named))
+        .when(F.col("_n").isNull(), F.concat(F.lit("prediction without a record: "), named))
+    )
+    checked = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(F.lit(True))
+    # The check is a filter, so no projection can prune it away.
+    return joined.filter(checked).drop("_n", "_m", "_in", "_id")
 
 
 def alignment(records: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -12,9 +12,9 @@ from assayer.operators.records import argmax_id
 from assayer.operators.skew import hot_keys, salted_join
 from assayer.session import materialize
 
-# Groups are placed by hash bucket, so the table of running totals has at most
-# (labels + 1) * BUCKETS rows however many groups there are.
-BUCKETS = 4096
+# Groups are placed by the first three hexadecimal digits of a seeded MD5, so the table of
+# running totals has at most (labels + 1) * 4096 rows however many groups there are.
+BUCKET_DIGITS = 3
 
 
 def group_stratified_split(
@@ -40,7 +40,7 @@ def group_stratified_split(
         group_col,
         "rows",
         stratum.alias("stratum"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col(group_col)), F.lit(BUCKETS)).alias("bucket"),
+        F.substring(F.md5(F.concat(F.lit(str(seed)), F.col(group_col))), 1, BUCKET_DIGITS).alias("bucket"),
     )
     buckets = groups.groupBy("stratum", "bucket").agg(F.sum("rows").alias("bucket_rows"))
     running = Window.partitionBy("stratum").orderBy("bucket")

@@ -6,16 +6,16 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.labels import LABELS, SPLITS
-from assayer.operators import audit, errors, metrics, overlap
-from assayer.operators.model import ModelConfig, fit_classifier, predict
+from assayer.operators import audit, errors, metrics
+from assayer.operators.model import ModelConfig, fit_classifier, predict, vocabulary_size
 from assayer.operators.records import (
+    guard_predictions,
     guarded_label,
     labelled,
-    with_content_hash,
     with_correct,
     with_input_text,
 )
@@ -30,7 +30,10 @@ def audit_document(records: DataFrame, servers: DataFrame, splits: Sequence[str]
     category is no label are counted in ``outside_label_set`` and listed by ``label_counts``.
     """
     known = records.filter(F.col("split").isin(*splits))
-    per_split = audit.audit_splits(known)
+    # One scan hashes every text; all counters, duplicates and overlaps come from its narrow rows.
+    narrow = materialize(audit.audit_columns(known))
+    facts = {key: materialize(audit.key_facts(narrow, key, splits)) for key in ("server_slug", "content")}
+    per_split = audit.audit_rows(narrow, splits, facts["server_slug"], facts["content"])
     is_label = F.col("category").isin(*LABELS)
     counted = audit.label_counts(known).groupBy("split")
     labels = counted.agg(
@@ -44,7 +47,7 @@ def audit_document(records: DataFrame, servers: DataFrame, splits: Sequence[str]
         for m in ("description_chars", "input_text_chars")
     }
     row = F.struct(
-        "rows", "servers", "label_counts",
+        "rows", "servers", F.coalesce("label_counts", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))).alias("label_counts"),
         F.coalesce("outside_label_set", F.lit(0)).alias("outside_label_set"), "missing_name", "missing_description", "empty_schema",
         "unparsable_schema", "duplicate_record_ids",
         F.col("exact_duplicates").alias("exact_name_description_duplicates"),
@@ -53,13 +56,10 @@ def audit_document(records: DataFrame, servers: DataFrame, splits: Sequence[str]
     )
     summary = joined.agg(F.map_from_entries(F.collect_list(F.struct("split", row))).alias("splits"))
 
-    def as_map(counts: DataFrame, name: str) -> DataFrame:
-        return counts.agg(F.map_from_entries(F.collect_list(F.struct("pair", "overlap"))).alias(name))
+    def as_map(key: str, name: str) -> DataFrame:
+        return facts[key].select(F.map_from_entries("shared").alias(name))
 
-    # Twenty bytes instead of forty in the shuffle.
-    hashed = with_content_hash(records).select("split", F.unhex("content_hash").alias("content_hash"))
-    groups = as_map(overlap.overlap_counts(records, "server_slug", splits), "server_slug_overlap")
-    content = as_map(overlap.overlap_counts(hashed, "content_hash", splits), "content_overlap")
+    groups, content = as_map("server_slug", "server_slug_overlap"), as_map("content", "content_overlap")
     scan = audit.label_word_scan(servers)
     hits = audit.first_hits(servers).agg(
         F.sort_array(F.collect_list(F.struct("ordinal", "slug", "matched"))).alias("h")
@@ -94,14 +94,31 @@ def scored_records(records: DataFrame, pred_col: str = "predicted_category") ->
 
 
 def train_and_evaluate(
-    records: DataFrame, model_path: str, report_path: str, config: ModelConfig = ModelConfig()
+    records: DataFrame, model_path: str, report_path: str, config: ModelConfig = ModelConfig(),
+    scored_path: str | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the train split, save the model, score validation, write the metrics."""
+    """Fit on the train split, save the model, score validation, write the metrics.
+
+    The metrics hold the facts of the model, too. With ``scored_path`` the scored validation
+    records are written as JSON lines, from which the error analysis starts.
+    """
     texts = with_input_text(labelled(records)).withColumnRenamed("input_text", "text")
+    start = time.perf_counter()
     model = fit_classifier(texts.filter(F.col("split") == "train"), config=config)
+    seconds = time.perf_counter() - start
     model.write().overwrite().save(model_path)
     scored = predict(model, texts.filter(F.col("split") == "validation"))
-    files.write_report_json(metrics.metrics_document(evaluate(scored)), report_path)
+    size = files.artifact_size_mb(records.sparkSession, model_path).first()["size_mb"]
+    facts = F.struct(
+        F.lit("TF-IDF (1-2 grams) + logistic regression").alias("type"),
+        F.lit(vocabulary_size(model)).cast("bigint").alias("vocabulary_size"),
+        F.lit(round(seconds, 2)).alias("train_seconds"),
+        F.lit(float(size)).alias("size_mb"),
+    )
+    document = metrics.metrics_document(evaluate(scored)).withColumn("model", facts)
+    files.write_report_json(document, report_path)
+    if scored_path is not None:
+        files.write_scored_jsonl(scored_records(scored), scored_path)
     return model, scored
 
 
@@ -125,22 +142,27 @@ def predict_to_csv(
     records: DataFrame,
     score: Callable[[DataFrame], DataFrame],
     path: str,
-    in_input_order: bool = False,
+    in_input_order: bool = True,
+    single_file: bool = False,
+    labels: Sequence[str] = LABELS,
 ) -> dict[str, float]:
-    """Score and write; returns rows, seconds and rows per second, without a second pass.
+    """Score and write; returns rows, seconds and rows per second.
 
-    For input order the few scored columns are checkpointed first: sorting samples its input,
-    and the sample must not run the model again.
+    The few scored columns are checkpointed first: the guard counts predictions outside the
+    label set and shows five of them, and sorting samples its input, and neither may run the
+    model again. In input order, the default, part files follow the input by name; each has
+    its own header, as Spark's writers have. ``single_file`` gives one part file, one valid
+    CSV, written by one streaming task.
     """
-    seen = Observation()
-    out = predict_records(records, score).observe(seen, F.count(F.lit(1)).alias("rows"))
+    if records.isEmpty():
+        raise ValueError("no records to score")
+    texts = with_input_text(records).select("ordinal", "record_id", F.col("input_text").alias("text"))
     start = time.perf_counter()
-    if in_input_order:
-        files.write_predictions_csv(materialize(out), path, "ordinal")
-    else:
-        files.write_predictions_csv(out, path)
+    scored = materialize(score(texts).select("ordinal", "record_id", F.col("predicted_category").alias("category")))
+    rows = guard_predictions(scored, "category", labels=labels).count()
+    order = "ordinal" if in_input_order else None
+    files.write_predictions_csv(scored, path, order, single_file)
     seconds = time.perf_counter() - start
-    rows = seen.get["rows"]
     return {"rows": rows, "seconds": seconds, "rows_per_second": rows / seconds}
 
 

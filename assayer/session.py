@@ -31,14 +31,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores for CPU-heavy work on a scanned table that arrives in few partitions.
-
-    A small file of one row group is read by one task however many cores there are. A table
-    that already has a partition per core, as any large one has, is returned as it is, with
-    no shuffle. For plain scans: asking a shuffled plan for its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -18,14 +18,19 @@ def _csv_field(name: str) -> Column:
     return F.when(value.rlike(r'[,"\r\n]'), quoted).otherwise(value)
 
 
-def write_predictions_csv(scored: DataFrame, path: str, order_col: str | None = None) -> None:
+def write_predictions_csv(
+    scored: DataFrame, path: str, order_col: str | None = None, single_file: bool = False
+) -> None:
     """``record_id,category`` with CRLF line ends and the header in every part file.
 
+    ``single_file`` brings the sorted partitions to one task, which streams them into one file.
+
     With ``order_col`` the part files are range-partitioned, so reading them in name
     order gives input order; without it there is no shuffle. The lines go through the text
     writer because the CSV writer turns a newline inside a value into the line end.
     """
     rows = scored.orderBy(order_col) if order_col else scored
+    rows = rows.coalesce(1) if single_file else rows
     line = F.concat_ws(",", _csv_field("record_id"), _csv_field("category"))
     # The low 33 bits of this id count the rows of one task, that is of one part file.
     first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0

@@ -21,7 +21,6 @@ from assayer.catalog import views  # noqa: E402
 from assayer.catalog.queries import QUERIES, train_model  # noqa: E402
 from assayer.operators.model import predict  # noqa: E402
 from assayer.plans import jobs  # noqa: E402
-from assayer.session import spread  # noqa: E402
 
 HEADLINE = (
     "audit_split", "content_overlap", "lookalike_rows", "params_explode", "input_text",
@@ -65,7 +64,7 @@ def main() -> None:
     for name in HEADLINE:
         seconds[name], _ = timed(lambda: run(QUERIES[name](spark, sf_dir)))
     seconds["train"], model = timed(lambda: train_model(spark, sf_dir))
-    records = spread(views.rec(spark, sf_dir))
+    records = views.spread(views.rec(spark, sf_dir))
     seconds["predict"], _ = timed(
         lambda: run(jobs.predict_records(records, lambda t: predict(model, t)))
     )

@@ -8,12 +8,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from assayer.labels import LABELS
-from assayer.operators import audit, overlap, splitting, tfidf
+from assayer.operators import audit, errors, overlap, splitting, tfidf
 from assayer.operators import records as R
 from assayer.operators.model import (
     MacroF1Evaluator,
     ModelConfig,
+    cut_terms,
     fit_classifier,
+    fit_features,
     fixed_validation_select,
     predict,
 )
@@ -154,7 +156,11 @@ def test_audit_document(spark, tmp_path, records):
 
 def test_empty_split_statistics(spark, records):
     none = records.filter("split = 'nowhere'")
-    assert audit.audit_splits(none).count() == 0
+    zeros = audit.audit_splits(none).collect()
+    assert sorted(r["split"] for r in zeros) == ["test", "train", "validation"]
+    assert all(not any(v for k, v in r.asDict().items() if k != "split") for r in zeros)
+    only_train = audit.audit_splits(records.filter("split = 'train'")).collect()
+    assert {r["split"]: r["rows"] for r in only_train} == {"train": 108, "validation": 0, "test": 0}
     assert {r.overlap for r in overlap.overlap_counts(none, "server_slug").collect()} == {0}
 
 
@@ -187,9 +193,10 @@ def test_tfidf_by_shuffle_equals_broadcast(spark, texts):
     assert as_set(small) == as_set(large)
 
 
-def test_vocabulary_limit_is_an_error(texts):
-    with pytest.raises(ValueError, match="max_terms"):
-        fit_classifier(texts.filter("split = 'train'"), config=ModelConfig(max_terms=3))
+def test_terms_are_sorted_whatever_the_partitioning(texts):
+    docs = texts.filter("split = 'train'")
+    lists = [fit_features(cut_terms(docs.repartition(n), "text"), "text", ModelConfig())[1].vocabulary for n in (1, 5)]
+    assert lists[0] == lists[1] == sorted(lists[0])
 
 
 def test_group_columns_are_refused(records):
@@ -209,11 +216,15 @@ def test_select_on_the_given_validation_split(texts):
 
 
 def test_predict_to_csv(spark, tmp_path, records, model):
-    summary = jobs.predict_to_csv(records, lambda t: predict(model, t), str(tmp_path / "out"), in_input_order=True)
+    summary = jobs.predict_to_csv(records, lambda t: predict(model, t), str(tmp_path / "out"))
     assert summary["rows"] == 180 and summary["rows_per_second"] > 0
     rows = [r for p in parts(str(tmp_path / "out"), ".txt") for r in csv.DictReader(open(p, newline=""))]
     assert [r["record_id"] for r in rows] == [f"r{i}" for i in range(180)]
     assert {r["category"] for r in rows} <= set(LABELS)
+    one = tmp_path / "one"
+    jobs.predict_to_csv(records, lambda t: predict(model, t), str(one), single_file=True)
+    (only,) = parts(str(one), ".txt")
+    assert [r["record_id"] for r in csv.DictReader(open(only, newline=""))] == [f"r{i}" for i in range(180)]
     with pytest.raises(ValueError, match="no records"):
         jobs.predict_records(records.limit(0), lambda t: predict(model, t))
 
@@ -221,18 +232,50 @@ def test_predict_to_csv(spark, tmp_path, records, model):
 def test_invalid_prediction_commits_nothing(tmp_path, records):
     bad = lambda t: t.withColumn("predicted_category", F.lit("Maybe"))
     out = tmp_path / "bad"
-    with pytest.raises(Exception, match="outside the label set: Maybe"):
+    with pytest.raises(ValueError, match=r"180 predictions outside the label set, first: \[\('r0', 'Maybe'\), .*'r4'") as error:
         jobs.predict_to_csv(records, bad, str(out))
-    assert not (out / "_SUCCESS").exists()
+    assert str(error.value).count("Maybe") == 5 and not (out / "_SUCCESS").exists()
+    with pytest.raises(Exception, match="outside the label set: Maybe"):
+        jobs.predict_records(records, bad).collect()
+
+
+def test_missing_predictions_are_errors(spark):
+    rows = [(1, "Read", "Read"), (2, "Read", "Write"), (3, "Read", None), (4, "Write", None), (5, None, "Read")]
+    scored = R.with_correct(spark.createDataFrame(rows, "ordinal long, category string, p string"), "category", "p")
+    assert [r.correct for r in scored.orderBy("ordinal").collect()] == [True, False, False, False, None]
+    known = scored.filter("category is not null")
+    assert tuple(errors.error_rate(known).first()) == (4, 3, 75.0)
+    named = known.withColumnsRenamed({"category": "true_category", "p": "predicted_category"})
+    pairs = {r.pair: r.n for r in errors.top_pairs(named).collect()}
+    assert pairs == {"Read_to_Write": 1, "Read_to_None": 1, "Write_to_None": 1}
+
+
+def test_attach_predictions_checks_its_contract(spark):
+    a = spark.createDataFrame([("1", "x"), ("2", "y")], "record_id string, name string")
+    good = spark.createDataFrame([("2", "Read"), ("1", "Write")], "record_id string, p string")
+    assert {tuple(r) for r in R.attach_predictions(a, good).collect()} == {("1", "x", "Write"), ("2", "y", "Read")}
+    for rows, message in (
+        ([("1", "Read"), ("1", "Read"), ("2", "Read")], "repeated record_id: 1"),
+        ([("1", "Read")], "record without a prediction: 2"),
+        ([("1", "Read"), ("2", "Read"), ("4", "Read")], "prediction without a record: 4"),
+    ):
+        bad = spark.createDataFrame(rows, "record_id string, p string")
+        with pytest.raises(Exception, match=message):
+            R.attach_predictions(a, bad).count()
 
 
 def test_train_and_evaluate(tmp_path, records):
-    _, scored = jobs.train_and_evaluate(records, str(tmp_path / "m"), str(tmp_path / "r"))
+    _, scored = jobs.train_and_evaluate(
+        records, str(tmp_path / "m"), str(tmp_path / "r"), scored_path=str(tmp_path / "s")
+    )
     (doc,) = json_rows(str(tmp_path / "r"))
     assert doc["n_samples"] == scored.count() == 36
     assert list(doc["per_class"]) == list(LABELS)
     assert doc["confusion_matrix"]["labels"] == list(LABELS)
     assert sum(map(sum, doc["confusion_matrix"]["matrix"])) == 36
+    assert doc["model"]["vocabulary_size"] > 0 and doc["model"]["size_mb"] > 0 and doc["model"]["train_seconds"] > 0
+    rows = json_rows(str(tmp_path / "s"))
+    assert len(rows) == 36 and sum(r["correct"] for r in rows) / 36 == pytest.approx(doc["accuracy"])
 
 
 def test_error_analysis_file(spark, tmp_path, records):
@@ -291,6 +334,22 @@ def test_group_split(spark):
     assert same.exceptAll(groups).isEmpty() and not other.exceptAll(groups).isEmpty()
 
 
+def test_salts_follow_the_share_of_a_key(spark):
+    counts = spark.createDataFrame([("a", 40_000), ("b", 130), ("c", 5)] + [(f"k{i}", 10) for i in range(8000)], "key string, n long")
+    hot = {r.key: r.salts for r in hot_keys(counts, "key", "n").collect()}
+    assert hot == {"a": 333, "b": 2}
+    fact = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"))
+    sizes = fact.groupBy("key").agg(F.count("*").alias("n"))
+    dim = spark.createDataFrame([("hot", 1)], "key string, v int")
+    flagged = hot_keys(sizes, "key", "n")
+    joined = salted_join(fact, dim, "key", flagged, "id")
+    assert joined.count() == 10_000
+    # No salt of the hot key holds much more than the share that makes a key hot.
+    salts = flagged.first().salts
+    per_salt = fact.filter("key = 'hot'").groupBy(F.pmod(F.xxhash64("id"), F.lit(salts))).count()
+    assert per_salt.agg(F.max("count")).first()[0] <= 3 * 30_000 / 1000
+
+
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
 def test_salted_join_with_a_hot_key(spark, how):
     fact = spark.range(5000).select(

@@ -23,6 +23,7 @@ def test_json_object_predicate(spark):
         '{"a":1} x': False, '{"a":1}, {}': False, '{"a":1}] x': False, '{"a":1}{}': False,
         '{"a":NaN}': True, '{"a":1,"a":2}': True, '{"a":"\t"}': False, '{"a":01}': False, "1": False,
         ' {"a":1}\n': True, '"{}"': False, '{"_":5}': True, "[{}]": False, '{"a":1}//x': False,
+        "{},{}]": False, '{"properties":{"a":{}}},{}] junk': False, "{},{}] [1": False, '{"a":1}\n,{"b":2}]': False,
     }
     df = rows(spark, cases).select(
         "record_id", F.coalesce(P.is_json_object("input_schema"), F.lit(False)).alias("o")
