@@ -52,6 +52,17 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+_SPACES = "".join(chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c)))
+
+
+def _latin_pattern(pattern: str) -> str:
+    """The pattern for texts of characters below U+0100, whose classes are spelt out."""
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        members = "".join(f"\\x{c:02x}" for c in range(256) if regex.match(name, chr(c)))
+        pattern = pattern.replace(name, members)
+    return pattern
+
+
 class Tokenizer:
     """The merge table and text rules of one tokenizer file."""
 
@@ -75,6 +86,9 @@ class Tokenizer:
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.words = regex.compile(split["pattern"]["Regex"])
+        self.latin_words = re.compile(_latin_pattern(split["pattern"]["Regex"]))
+        # The step that makes one space of white space changes no word, since no word has any.
+        self.spaceless = not any(self.words.findall(c) for c in _SPACES)
         self.alphabet = _byte_alphabet()
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.added_at = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -90,16 +104,22 @@ class Tokenizer:
 
     def split(self, text: str) -> list[str]:
         """The normalised words of a text without added tokens."""
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        # Lower case letter by letter: a final sigma has no form of its own here.
-        return self.words.findall(_SPACE.sub(" ", text).replace("Σ", "σ").lower())
+        try:
+            text.encode("latin-1")  # such a text is in NFC
+        except UnicodeEncodeError:
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            if not self.spaceless:
+                text = _SPACE.sub(" ", text)
+            # Lower case letter by letter: a final sigma has no form of its own here.
+            return self.words.findall(text.replace("Σ", "σ").lower())
+        return self.latin_words.findall((text if self.spaceless else _SPACE.sub(" ", text)).lower())
 
     def parts(self, text: str | None) -> Iterator[list[str] | int]:
         """Lists of words, and ids of added tokens between them, over the whole text."""
         at = 0
         text = text or ""
-        for found in self.added_at.finditer(text) if self.added_at else ():
+        for found in self.added_at.finditer(text) if any(a in text for a in self.added) else ():
             yield from map(self.split, pieces(text[at : found.start()], _BREAK))
             yield self.added[found.group()]
             at = found.end()
@@ -251,7 +271,7 @@ def word_counts(docs: DataFrame, text_col: str, spec: Broadcast) -> DataFrame:
                 for part in tokens.parts(text):
                     if not isinstance(part, int):
                         counts.update(part)
-                if len(counts) > 300_000:
+                if len(counts) > 200_000:
                     yield flush()
         yield flush()
 
@@ -287,7 +307,7 @@ def frequent_words(docs: DataFrame, text_col: str, spec: Broadcast, size: int =
 class _Encoder:
     """Ids of whole texts; a bounded table in front keeps the ids of words met before."""
 
-    def __init__(self, tokenizer: Tokenizer, lexicon: Automaton, max_words: int = 300_000):
+    def __init__(self, tokenizer: Tokenizer, lexicon: Automaton, max_words: int = 200_000):
         self.tokenizer, self.lexicon, self.max_words = tokenizer, lexicon, max_words
         self._forget()
 
@@ -319,13 +339,14 @@ class _Encoder:
             self.used += len(ids)
             self.places[word] = place
 
-    def _ids(self, words: list) -> np.ndarray:
+    def _ids(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, and how many each word has."""
         self._learn(set(words))
         place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         sizes = self.sizes[place]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[place] - (ends - sizes), sizes) + np.arange(total)]
+        return self.flat[np.repeat(self.starts[place] - (ends - sizes), sizes) + np.arange(total)], sizes
 
     def encode(self, texts: Sequence[str | None]) -> pa.ListArray:
         arrays, counts = [], []
@@ -336,9 +357,8 @@ class _Encoder:
         def flush() -> None:
             if ends:
                 words = np.array([0, *ends])
-                ids = self._ids(group)
-                sizes = np.concatenate([[0], np.cumsum(self.sizes[[self.places[w] for w in group]])]) if group else np.zeros(1, int)
-                counts.extend(np.diff(sizes[words]).tolist())
+                ids, sizes = self._ids(group)
+                counts.extend(np.diff(np.concatenate([[0], np.cumsum(sizes)])[words]).tolist())
                 arrays.append(ids)
                 group.clear()
                 ends.clear()
@@ -346,7 +366,7 @@ class _Encoder:
         for text in texts:
             if text is not None and len(text) > PIECE_CHARS:
                 flush()
-                whole = [self._ids([p] if isinstance(p, int) else p) for p in self.tokenizer.parts(text)]
+                whole = [self._ids([p] if isinstance(p, int) else p)[0] for p in self.tokenizer.parts(text)]
                 arrays += whole
                 counts.append(sum(map(len, whole)))
                 continue
@@ -356,7 +376,7 @@ class _Encoder:
                 else:
                     group += part
             ends.append(len(group))
-            if len(group) > 200_000:
+            if len(group) > 100_000:
                 flush()
         flush()
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
@@ -364,6 +384,23 @@ class _Encoder:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
 
 
+def _slices(batches: Iterator[pa.Array], rows: int = 256) -> Iterator[pa.Array]:
+    """Few rows at a time, so that ids and strings of a whole batch never exist together."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
+def _decoded(ids: pa.ListArray, strings: np.ndarray) -> pa.Array:
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(np.array(ids.value_lengths().fill_null(0))).tolist()
+    texts, at = [], 0
+    for end, ok in zip(ends, ids.is_valid().to_pylist()):
+        texts.append(" ".join(strings[flat[at:end]].tolist()) if ok else None)
+        at = end
+    return pa.array(texts, pa.string())
+
+
 @dataclass(frozen=True)
 class BpeCodec:
     """Column functions of a tokenizer and a shipped lexicon."""
@@ -386,8 +423,8 @@ class BpeCodec:
 
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = live(name, lambda: _Encoder(Tokenizer(spec.value), Automaton(SparkFiles.get(name))))
-            for batch in batches:
-                yield encoder.encode(batch.to_pylist())
+            for part in _slices(batches):
+                yield encoder.encode(part.to_pylist())
 
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
         return F.arrow_udf(run, T.ArrayType(T.IntegerType()))(text)
@@ -398,14 +435,24 @@ class BpeCodec:
 
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             strings = live(name, lambda: Tokenizer(spec.value)).strings
-            for batch in batches:
-                flat = batch.flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum(np.nan_to_num(np.array(batch.value_lengths().fill_null(0)))).tolist()
-                texts, at = [], 0
-                for end, ok in zip(ends, batch.is_valid().to_pylist()):
-                    texts.append(" ".join(strings[flat[at:end]].tolist()) if ok else None)
-                    at = end
-                yield pa.array(texts, pa.string())
+            for part in _slices(batches):
+                yield _decoded(part, strings)
 
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
         return F.arrow_udf(run, T.StringType())(ids)
+
+    def round_trip(self, text: Column) -> Column:
+        """``struct(ids, decoded)``: :meth:`encode`, then :meth:`decode` of its ids, in one worker."""
+        spec, name = self.spec, self.lexicon
+        kind = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encoder = live(name, lambda: _Encoder(Tokenizer(spec.value), Automaton(SparkFiles.get(name))))
+            for part in _slices(batches):
+                ids = encoder.encode(part.to_pylist())
+                yield pa.StructArray.from_arrays(
+                    [ids, _decoded(ids, encoder.tokenizer.strings)], names=["ids", "decoded"]
+                )
+
+        run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        return F.arrow_udf(run, kind)(text)

@@ -146,8 +146,7 @@ def op7_line_dedup(spark, d):
 def op8_bpe(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     codec = BpeCodec.build(docs, "text", tokenizer_path())
-    encoded = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    decoded = docs.select("doc_id", codec.round_trip(F.col("text")).alias("_r")).select("doc_id", "_r.ids", "_r.decoded")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -55,8 +55,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_tokens, decoded_sha256``: token ids and a digest of their decoded text."""
     codec = BpeCodec.build(docs, "text", tokenizer_path())
-    encoded = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
-    again = encoded.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    again = docs.select("doc_id", codec.round_trip(F.col("text")).alias("_r")).select("doc_id", "_r.ids", "_r.decoded")
     return again.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
