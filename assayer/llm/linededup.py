@@ -1,7 +1,7 @@
 """Fuzzy line dedup, in DataFrame operations only.
 
-Lines are the parts of a text between line feeds. A line is normalised to its lower-case runs of
-letters and digits, joined by spaces. Lines without any are blank and always stay. Lines with equal normal forms are copies. Lines of at least
+Lines are the parts of a text between line feeds. A line is normalised to lower case, without
+white space at its ends and with one space for several. Lines that are empty then always stay. Lines with equal normal forms are copies. Lines of at least
 ``min_words`` words also match if the SimHashes of their words differ in at most ``distance`` of
 64 bits and the edit similarity of their normal forms is at least ``similarity``. Of every
 connected group the occurrence with the least (id, line number) stays; all others are removed.
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions.binding import let
+from assayer.llm.bitmaps import bitmap, flagged
 from assayer.llm.components import connected_components
 from assayer.operators.skew import hot_keys, salted_join
 from assayer.session import ensure_checkpoint_dir, materialize
@@ -39,9 +40,8 @@ class LineDedupConfig:
     blocks: int = 5
 
 
-RUN = 63  # words whose bits are counted in lanes of eight bits
-_BYTES = 0x0101_0101_0101_0101
-_WIDE = 0x0000_0001_0000_0001
+RUN = 16_383  # words whose bits can be counted in lanes of sixteen bits
+_LANES = 0x0001_0001_0001_0001
 
 
 def _long(value: int) -> Column:
@@ -49,90 +49,91 @@ def _long(value: int) -> Column:
 
 
 def line_words(line: Column) -> Column:
-    """The normalised words of a line: runs of letters and digits, in lower case."""
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+", -1), "")
+    """The normalised words of a line: what lies between spaces, in lower case."""
+    return F.array_remove(F.split(F.lower(F.trim(line, F.lit(" \t\r"))), " ", -1), "")
 
 
-def simhash(words: Column) -> Column:
-    """The SimHash of an array of words: bit b is 1 if it is set in over half of their hashes.
+def line_simhashes(words: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, n, simhash`` of rows ``keys, words``; rows without words disappear.
 
-    The 64 counters are lanes of longs. Runs of up to 63 words are counted in lanes of eight bits,
-    eight longs in all; each run is then added to lanes of 32 bits. Adding ``2^30 - 1 - n div 2``
-    to a lane sets its bit 30 exactly if its count is over ``n / 2``.
+    Bit b of a SimHash is 1 if it is set in over half of the hashes of the words. The 64 counters
+    are lanes of 16 longs, four in each, so that one aggregate of 16 sums counts them. Adding
+    ``2^14 - 1 - n div 2`` to a lane sets its bit 14 exactly if its count is over ``n / 2``.
+    Lanes hold up to 16,383 words; the sums of longer lines are added up in wider ones.
     """
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    zero8 = F.struct(*[_long(0).alias(f"c{i}") for i in range(8)])
-    zero32 = F.struct(*[_long(0).alias(f"w{m}") for m in range(32)])
-
-    def count(acc, h):
-        return F.struct(
-            *[(acc[f"c{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(_long(_BYTES))).alias(f"c{i}") for i in range(8)]
-        )
-
-    def widen(acc, run):
-        # Lane j of c_i counts bit 8 j + i; lanes j and j + 4 go to the two lanes of w_(4 i + j).
-        return F.struct(
-            *[
-                (acc[f"w{4 * i + j}"] + F.shiftrightunsigned(run[f"c{i}"], 8 * j).bitwiseAND(_long(255 * _WIDE))).alias(
-                    f"w{4 * i + j}"
-                )
-                for i in range(8)
-                for j in range(4)
-            ]
-        )
-
-    def counted(h):
-        runs = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(h) - 1) / F.lit(RUN)).cast("int")),
-            lambda r: F.aggregate(F.slice(h, r * RUN + 1, F.lit(RUN)), zero8, count),
-        )
-        return F.aggregate(runs, zero32, widen)
-
-    def majority(n, w):
-        lift = (_long((1 << 30) - 1) - F.floor(n / F.lit(2)).cast("long")) * _long(_WIDE)
-        bits = None
-        for i in range(8):
-            for j in range(4):
-                set_ = F.shiftrightunsigned(w[f"w{4 * i + j}"] + lift, 30).bitwiseAND(_long(_WIDE))
-                term = F.shiftleft(set_, 8 * j + i)
-                bits = term if bits is None else bits.bitwiseOR(term)
-        return bits
+    each = words.select(*keys, F.size("words").alias("n"), F.posexplode("words").alias("_at", "_word")).select(
+        *keys, "n", F.expr(f"_at div {RUN}").alias("_run"), F.xxhash64("_word").alias("_h")
+    )
+    lane = lambda i: F.shiftrightunsigned("_h", i).bitwiseAND(_long(_LANES))
+    sums = each.groupBy(*keys, "n", "_run").agg(*[F.sum(lane(i)).alias(f"_c{i}") for i in range(16)])
+    lift = (_long((1 << 14) - 1) - F.floor(F.col("n") / F.lit(2)).cast("long")) * _long(_LANES)
+    bits = None
+    for i in range(16):
+        over = F.shiftrightunsigned(F.col(f"_c{i}") + lift, 14).bitwiseAND(_long(_LANES))
+        term = F.shiftleft(over, i)
+        bits = term if bits is None else bits.bitwiseOR(term)
+    counted = F.array(*[f"_c{i}" for i in range(16)])
+    whole = F.col("n") <= RUN
+    table = stored(
+        sums.select(*keys, "n", F.when(whole, bits).alias("simhash"), F.when(~whole, counted).alias("_counts"))
+    )
+    # Bit 16 j + i is in lane j of count i.
+    wide = lambda b: F.shiftrightunsigned(F.get("_counts", F.lit(b % 16)), 16 * (b // 16)).bitwiseAND(32767)
+    long_lines = table.filter("simhash is null").groupBy(*keys, "n").agg(
+        *[F.sum(wide(b)).alias(f"_b{b}") for b in range(64)]
+    )
+    value = None
+    for b in range(64):
+        mask = (1 << b) - (1 << 64 if b == 63 else 0)
+        term = F.when(F.col(f"_b{b}") * 2 > F.col("n"), _long(mask)).otherwise(_long(0))
+        value = term if value is None else value.bitwiseOR(term)
+    return table.filter("simhash is not null").drop("_counts").unionByName(
+        long_lines.select(*keys, "n", value.alias("simhash"))
+    )
 
-    return let(hashes, lambda h: let(counted(h), lambda w: majority(F.size(h), w)))
 
+def _block_keys(simhash: Column, config: LineDedupConfig) -> list[Column]:
+    """One key for every choice of blocks on which a pair may agree.
 
-def _masks(config: LineDedupConfig) -> list[int]:
-    """One mask for every choice of blocks on which a pair may agree, as signed longs."""
+    The bits outside the chosen blocks hold a mark of the choice, so that keys of different
+    choices differ.
+    """
     edges = [64 * i // config.blocks for i in range(config.blocks + 1)]
     blocks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
-    sums = [sum(chosen) for chosen in combinations(blocks, config.blocks - config.distance)]
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in sums]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    out = []
+    for number, chosen in enumerate(combinations(blocks, config.blocks - config.distance), 1):
+        mask = sum(chosen)
+        mark = sum(number << k for k in range(0, 64, 8)) & ((1 << 64) - 1) & ~mask
+        out.append(simhash.bitwiseAND(_long(signed(mask))).bitwiseOR(_long(signed(mark))))
+    return out
 
 
 def similar_simhashes(distinct: DataFrame, config: LineDedupConfig) -> DataFrame:
-    """Pairs ``a < b`` of distinct SimHashes at most ``distance`` bits apart, each once.
-
-    Rows carry the number of the choice and the SimHash; the blocks they meet on follow from both.
-    """
-    masks = _masks(config)
-    table = F.array(*[_long(m) for m in masks])
-    keyed = distinct.select("simhash", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("t"))
-    left = keyed.select(F.col("simhash").alias("a"), F.col("t").alias("ta"))
-    right = keyed.select(F.col("simhash").alias("b"), F.col("t").alias("tb"))
-    meet = (F.col("ta") == F.col("tb")) & (
-        F.col("a").bitwiseAND(F.get(table, F.col("ta"))) == F.col("b").bitwiseAND(F.get(table, F.col("tb")))
-    )
+    """Pairs ``a < b`` of distinct SimHashes at most ``distance`` bits apart, each once."""
+    keyed = distinct.select("simhash", F.explode(F.array(*_block_keys(F.col("simhash"), config))).alias("key"))
+    left = keyed.select("key", F.col("simhash").alias("a"))
+    right = keyed.select("key", F.col("simhash").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= config.distance
-    return left.join(right, meet & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return left.join(right, "key").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def _similar(a: str, b: str, config: LineDedupConfig) -> Column:
-    """Whether two lines have the edit similarity asked for; the limit lets the distance stop early."""
+    """Whether two lines have the edit similarity asked for.
+
+    The cost of a bounded edit distance follows its bound, so small bounds are tried first.
+    """
     limit = f"cast(floor(greatest(length({a}), length({b})) * {1 - config.similarity!r} + 1e-9) as int)"
-    return F.expr(f"abs(length({a}) - length({b})) <= {limit} and levenshtein({a}, {b}, {limit}) >= 0")
+    within = lambda bound: f"levenshtein({a}, {b}, {bound}) >= 0"
+    return F.expr(
+        f"case when abs(length({a}) - length({b})) > {limit} then false"
+        f" when {within(f'least(16, {limit})')} then true when {limit} <= 16 then false"
+        f" when {within(f'least(64, {limit})')} then true when {limit} <= 64 then false"
+        f" else {within(limit)} end"
+    )
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """A table written to the shared checkpoint folder and read again: it outlives executors."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
@@ -141,25 +142,24 @@ def _stored(df: DataFrame) -> DataFrame:
 
 
 def line_occurrences(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig) -> DataFrame:
-    """``row, line, k1, k2, simhash`` of every line that is not blank.
+    """``row, line, k1, k2, simhash`` of every line that is not blank, stored.
 
-    The keys name the normal form; lines of fewer than ``min_words`` words have no SimHash. Words
-    are cut inside the generator, so that no later step cuts them again.
+    The keys name the normal form; lines of fewer than ``min_words`` words have no SimHash.
     """
-    cut = F.transform(F.split(F.col(text_col), "\n", -1), line_words)
-    lines = docs.select(F.col(row), F.posexplode(cut).alias("line", "words")).filter(F.size("words") > 0)
+    lines = docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
+    words = lines.select(row, "line", line_words(F.col("_raw")).alias("words"))
     norm = F.array_join("words", " ")
-    return lines.select(
-        row, "line", F.xxhash64(norm).alias("k1"), F.xxhash64(F.lit(1), norm).alias("k2"),
-        F.when(F.size("words") >= config.min_words, simhash(F.col("words"))).alias("simhash"),
+    named = words.select(row, "line", F.xxhash64(norm).alias("k1"), F.xxhash64(F.lit(1), norm).alias("k2"), "words")
+    return line_simhashes(named, [row, "line", "k1", "k2"]).select(
+        row, "line", "k1", "k2", F.when(F.col("n") >= config.min_words, F.col("simhash")).alias("simhash")
     )
 
 
 def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig = LineDedupConfig()) -> DataFrame:
     """``row, line`` of every line that repeats an earlier one; ``row`` orders and names the rows."""
-    found = _stored(line_occurrences(docs, row, text_col, config))
+    found = line_occurrences(docs, row, text_col, config)
     key = ["k1", "k2"]
-    lines = materialize(
+    lines = stored(
         found.groupBy(*key).agg(
             F.min(F.struct(F.col(row).alias("row"), "line")).alias("first"),
             F.count(F.lit(1)).alias("n"),
@@ -172,17 +172,17 @@ def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupCon
     candidates = materialize(similar_simhashes(groups.select("simhash"), config).unionByName(same))
     # Texts are fetched for the lines of candidates only, from the row of their first occurrence.
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("simhash")).distinct()
-    node = F.struct("k1", "k2").alias("node")
-    places = long_lines.join(wanted, "simhash", "left_semi").groupBy(F.col("first.row").alias(row)).agg(
-        F.collect_list(F.struct("first.line", "simhash", node)).alias("_places")
+    places = stored(
+        long_lines.join(wanted, "simhash", "left_semi").select("first", "simhash", F.struct("k1", "k2").alias("node"))
     )
-    fetched = docs.select(row, text_col).join(places, row).select(
-        F.explode("_places").alias("_p"), F.split(F.col(text_col), "\n", -1).alias("_lines")
-    )
-    texts = materialize(
-        fetched.select(
-            "_p.simhash", "_p.node", F.array_join(line_words(F.get("_lines", F.col("_p.line"))), " ").alias("norm")
-        ).distinct()
+    hashed = F.xxhash64(F.col(row), F.col("line"))
+    bits = bitmap(places.select(F.xxhash64("first.row", "first.line").alias("h")), "h")
+    lines_again = docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
+    near = flagged(lines_again, hashed, bits, "_may").filter("_may").drop("_may")
+    texts = stored(
+        near.join(places, (F.col(row) == F.col("first.row")) & (F.col("line") == F.col("first.line")))
+        .select("simhash", "node", F.array_join(line_words(F.col("_raw")), " ").alias("norm"))
+        .distinct()
     )
     left = texts.select(F.col("simhash").alias("a"), F.col("node").alias("na"), F.col("norm").alias("ta"))
     right = texts.select(F.col("simhash").alias("b"), F.col("node").alias("nb"), F.col("norm").alias("tb"))
@@ -222,8 +222,17 @@ def dedup_lines(
         F.struct(*[F.col(c) for c in columns if c != text_col]).alias("_rest"),
     )
     drops = removed_lines(named, "_row", "_text", config).groupBy("_row").agg(F.collect_set("line").alias("_drop"))
+    repeated = named.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_row")
+    # Only rows that lose a line or repeat are shuffled; all others pass as they are.
+    changes = stored(drops.join(repeated, "_row", "full"))
+    bits = bitmap(changes.select(F.xxhash64("_row").alias("h")), "h")
+    marked = flagged(named, F.xxhash64("_row"), bits, "_may")
     again = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    joined = named.join(drops, "_row", "left").withColumn("_again", again)
+    joined = marked.filter("_may").join(changes, "_row", "left").withColumn("_again", again)
+    same = marked.filter("not _may").select(
+        *[F.col("_text").alias(c) if c == text_col else F.col(f"_rest.`{c}`").alias(c) for c in columns],
+        *([F.lit(0).alias(removed_col)] if removed_col else []),
+    )
     lines = F.split("_text", "\n", -1)
     # A repeated row keeps its blank lines only; any other row loses the lines found above.
     blank = F.filter(lines, lambda x: F.size(line_words(x)) == 0)
@@ -238,4 +247,4 @@ def dedup_lines(
     out = [text.alias(c) if c == text_col else F.col(f"_rest.`{c}`").alias(c) for c in columns]
     if removed_col:
         out.append(F.coalesce(gone, F.lit(0)).cast("int").alias(removed_col))
-    return joined.select(*out)
+    return joined.select(*out).unionByName(same)
