@@ -155,7 +155,9 @@ def ball_links(prints: DataFrame, col: str, distance: int = 3) -> DataFrame:
             yield links(variant[:last], own[:last])
         yield links(*held)
 
-    emitted = prints.select(col).mapInArrow(emit, "variant long, own long")
+    # A fingerprint becomes up to 1057 rows, so these few bytes are spread over all tasks first.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    emitted = prints.select(col).repartition(tasks, col).mapInArrow(emit, "variant long, own long")
     met = emitted.repartition("variant").sortWithinPartitions("variant").mapInArrow(meet, "a long, b long")
     return met.distinct()
 
