@@ -2,7 +2,7 @@
 
 Lines are the parts of a text between line feeds. A line is normalised to lower case, without
 white space at its ends and with one space for several. Lines that are empty then always stay. Lines with equal normal forms are copies. Lines of at least
-``min_words`` words also match if the SimHashes of their words differ in at most ``distance`` of
+``min_words`` words also match if the SimHashes of their different words differ in at most ``distance`` of
 64 bits and the edit similarity of their normal forms is at least ``similarity``. Of every
 connected group the occurrence with the least (id, line number) stays; all others are removed.
 
@@ -56,13 +56,17 @@ def line_words(line: Column) -> Column:
 def line_simhashes(words: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, n, simhash`` of rows ``keys, words``; rows without words disappear.
 
-    Bit b of a SimHash is 1 if it is set in over half of the hashes of the words. The 64 counters
+    Bit b of a SimHash is 1 if it is set in over half of the hashes of the ``n`` different words;
+    counted with their frequencies, long lines of one language would all look alike. The 64 counters
     are lanes of 16 longs, four in each, so that one aggregate of 16 sums counts them. Adding
     ``2^14 - 1 - n div 2`` to a lane sets its bit 14 exactly if its count is over ``n / 2``.
-    Lanes hold up to 16,383 words; the sums of longer lines are added up in wider ones.
+    Lanes hold up to 16,383 different words; the sums of longer lines are added up in wider ones.
     """
-    each = words.select(*keys, F.size("words").alias("n"), F.posexplode("words").alias("_at", "_word")).select(
-        *keys, "n", F.expr(f"_at div {RUN}").alias("_run"), F.xxhash64("_word").alias("_h")
+    hashes = words.select(
+        *keys, F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("_hashes")
+    )
+    each = hashes.select(*keys, F.size("_hashes").alias("n"), F.posexplode("_hashes").alias("_at", "_h")).select(
+        *keys, "n", F.expr(f"_at div {RUN}").alias("_run"), "_h"
     )
     lane = lambda i: F.shiftrightunsigned("_h", i).bitwiseAND(_long(_LANES))
     sums = each.groupBy(*keys, "n", "_run").agg(*[F.sum(lane(i)).alias(f"_c{i}") for i in range(16)])
@@ -149,12 +153,52 @@ def line_occurrences(docs: DataFrame, row: str, text_col: str, config: LineDedup
     lines = docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
     words = lines.select(row, "line", line_words(F.col("_raw")).alias("words"))
     norm = F.array_join("words", " ")
-    named = words.select(row, "line", F.xxhash64(norm).alias("k1"), F.xxhash64(F.lit(1), norm).alias("k2"), "words")
-    return line_simhashes(named, [row, "line", "k1", "k2"]).select(
-        row, "line", "k1", "k2", F.when(F.col("n") >= config.min_words, F.col("simhash")).alias("simhash")
+    named = words.select(
+        row, "line", F.xxhash64(norm).alias("k1"), F.xxhash64(F.lit(1), norm).alias("k2"),
+        (F.size("words") >= config.min_words).alias("long"), "words",
+    )
+    return line_simhashes(named, [row, "line", "k1", "k2", "long"]).select(
+        row, "line", "k1", "k2", F.when(F.col("long"), F.col("simhash")).alias("simhash")
     )
 
 
+def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupConfig) -> DataFrame:
+    """``node, root`` of the groups that verified links make of ``texts`` (``simhash, node, norm``).
+
+    ``candidates`` holds the pairs ``a <= b`` of SimHashes whose lines may be linked. Comparing
+    all their lines would cost the square of a large group of near copies, so it is done in two
+    steps, which give the same groups. First, every line is compared with the least line of its
+    SimHash, and those least lines with each other. Then only lines that are still in different
+    groups are compared, all of them: a link within a group would change nothing.
+    """
+    hubs = materialize(
+        texts.groupBy("simhash").agg(F.min(F.struct("node", "norm")).alias("h")).select(
+            "simhash", F.col("h.node").alias("hub"), F.col("h.norm").alias("hub_norm")
+        )
+    )
+    own = texts.join(hubs, "simhash").filter(F.col("node") != F.col("hub")).filter(_similar("norm", "hub_norm", config))
+    first = hubs.select(F.col("simhash").alias("a"), F.col("hub").alias("na"), F.col("hub_norm").alias("ta"))
+    second = hubs.select(F.col("simhash").alias("b"), F.col("hub").alias("nb"), F.col("hub_norm").alias("tb"))
+    apart = candidates.filter("a <> b").join(first, "a").join(second, "b").filter(_similar("ta", "tb", config))
+    links = materialize(
+        own.select(F.col("node").alias("na"), F.col("hub").alias("nb")).unionByName(apart.select("na", "nb"))
+    )
+    groups = connected_components(links, "na", "nb")
+    members = texts.join(groups, "node", "left").select("simhash", "node", "norm", F.coalesce("root", "node").alias("group"))
+    classes = materialize(members.select("simhash", "group").distinct())
+    open_pairs = materialize(
+        candidates.join(classes.select(F.col("simhash").alias("a"), F.col("group").alias("ga")), "a")
+        .join(classes.select(F.col("simhash").alias("b"), F.col("group").alias("gb")), "b")
+        .filter(F.when(F.col("a") == F.col("b"), F.col("ga") < F.col("gb")).otherwise(F.col("ga") != F.col("gb")))
+    )
+    if open_pairs.isEmpty():
+        return groups
+    one = members.select(F.col("simhash").alias("a"), F.col("group").alias("ga"), F.col("node").alias("na"), F.col("norm").alias("ta"))
+    two = members.select(F.col("simhash").alias("b"), F.col("group").alias("gb"), F.col("node").alias("nb"), F.col("norm").alias("tb"))
+    rest = open_pairs.join(one, ["a", "ga"]).join(two, ["b", "gb"]).filter(_similar("ta", "tb", config))
+    return connected_components(links.unionByName(rest.select("na", "nb")), "na", "nb")
+
+
 def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig = LineDedupConfig()) -> DataFrame:
     """``row, line`` of every line that repeats an earlier one; ``row`` orders and names the rows."""
     found = line_occurrences(docs, row, text_col, config)
@@ -184,14 +228,7 @@ def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupCon
         .select("simhash", "node", F.array_join(line_words(F.col("_raw")), " ").alias("norm"))
         .distinct()
     )
-    left = texts.select(F.col("simhash").alias("a"), F.col("node").alias("na"), F.col("norm").alias("ta"))
-    right = texts.select(F.col("simhash").alias("b"), F.col("node").alias("nb"), F.col("norm").alias("tb"))
-    linked = (
-        candidates.join(left, "a").join(right, "b")
-        .filter((F.col("a") != F.col("b")) | (F.col("na") < F.col("nb")))
-        .filter(_similar("ta", "tb", config))
-    )
-    fuzzy_groups = connected_components(linked, "na", "nb").select("node.k1", "node.k2", "root")
+    fuzzy_groups = similar_groups(candidates, texts, config).select("node.k1", "node.k2", "root")
     grouped = lines.join(fuzzy_groups, key, "left")
     # The occurrence that stays: of the line itself, or of its fuzzy group.
     fuzzy = grouped.filter("root is not null")
