@@ -190,8 +190,8 @@ def test_top_k(spark, block_rows):
     values = {i: rng.normal(size=6).round(1) for i in range(0, 120, 2)}
     values.update({1: values[4], 3: values[4], 5: np.zeros(6), 7: -values[4]})
     ints = {i: np.floor(256 * v).astype(np.int64) for i, v in values.items()}
-    rows = [(i, [float(x) for x in v]) for i, v in values.items()]
-    bad = [(301, None), (302, [1.0, None, 0, 0, 0, 0]), (303, [float("nan")] * 6), (304, [float("inf")] + [0.0] * 5), (None, [1.0] * 6)]
+    rows = [(int(i), [float(x) for x in v]) for i, v in values.items()]
+    bad = [(301, None), (302, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (303, [float("nan")] * 6), (304, [float("inf")] + [0.0] * 5), (None, [1.0] * 6)]
     df = spark.createDataFrame([(*r, "x") for r in rows + bad + rows[:3]], "vec_id long, embedding array<double>, id string")
     asked = df.filter("vec_id % 5 = 0 or vec_id is null or vec_id > 300")
     got = topk.exact_top_k(df, asked, 5, block_rows=block_rows, pack_rows=4).collect()
