@@ -1,7 +1,8 @@
 """Fuzzy line dedup, in DataFrame operations only.
 
 Lines are the parts of a text between line feeds. A line is normalised to lower case, without
-white space at its ends and with one space for several. Lines that are empty then always stay. Lines with equal normal forms are copies. Lines of at least
+white space at its ends and with one space for several; with ``letters`` to its lower-case runs of
+letters, marks and digits, joined by spaces, unless it has none. Lines of white space always stay. Lines with equal normal forms are copies. Lines of at least
 ``min_words`` words also match if the SimHashes of their different words differ in at most ``distance`` of
 64 bits and the edit similarity of their normal forms is at least ``similarity``. Of every
 connected group the occurrence with the least (id, line number) stays; all others are removed.
@@ -38,8 +39,12 @@ class LineDedupConfig:
     similarity: float = 0.8
     distance: int = 3
     blocks: int = 5
+    letters: bool = False
 
 
+#: What the queries run: copies may differ in punctuation, quotes and any white space.
+WHOLE = LineDedupConfig(letters=True)
+
 RUN = 16_383  # words whose bits can be counted in lanes of sixteen bits
 _LANES = 0x0001_0001_0001_0001
 
@@ -53,6 +58,16 @@ def line_words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.trim(line, F.lit(" \t\r"))), " ", -1), "")
 
 
+def line_norm(line: Column, config: LineDedupConfig) -> Column:
+    """The normal form of a line; empty only for a line of spaces, tabs and carriage returns."""
+    spaced = F.array_join(line_words(line), " ")
+    if not config.letters:
+        return spaced
+    # A combining mark is part of its letter. A line of signs only, such as a rule, stays as it is.
+    letters = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{M}\p{N}]+", " "))
+    return F.coalesce(F.nullif(letters, F.lit("")), spaced)
+
+
 def line_simhashes(words: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, n, simhash`` of rows ``keys, words``; rows without words disappear.
 
@@ -151,7 +166,8 @@ def line_occurrences(docs: DataFrame, row: str, text_col: str, config: LineDedup
     The keys name the normal form; lines of fewer than ``min_words`` words have no SimHash.
     """
     lines = docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
-    words = lines.select(row, "line", line_words(F.col("_raw")).alias("words"))
+    normal = lines.select(row, "line", line_norm(F.col("_raw"), config).alias("_norm"))
+    words = normal.select(row, "line", F.array_remove(F.split("_norm", " ", -1), "").alias("words"))
     norm = F.array_join("words", " ")
     named = words.select(
         row, "line", F.xxhash64(norm).alias("k1"), F.xxhash64(F.lit(1), norm).alias("k2"),
@@ -225,7 +241,7 @@ def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupCon
     near = flagged(lines_again, hashed, bits, "_may").filter("_may").drop("_may")
     texts = stored(
         near.join(places, (F.col(row) == F.col("first.row")) & (F.col("line") == F.col("first.line")))
-        .select("simhash", "node", F.array_join(line_words(F.col("_raw")), " ").alias("norm"))
+        .select("simhash", "node", line_norm(F.col("_raw"), config).alias("norm"))
         .distinct()
     )
     fuzzy_groups = similar_groups(candidates, texts, config).select("node.k1", "node.k2", "root")
