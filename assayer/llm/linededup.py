@@ -10,7 +10,8 @@ connected group the occurrence with the least (id, line number) stays; all other
 Candidates come from pigeonhole blocks: 64 bits in ``blocks`` blocks, of which ``distance`` can
 differ, so that pairs agree on some ``blocks - distance`` whole blocks. Rows meet on those blocks
 only, after equal lines and equal SimHashes have been merged, so copies are never paired. There
-is no cap on a block's rows.
+is no cap on a block's rows. With ``shingle``, as in ``WHOLE``, candidates of any length come from
+:mod:`near_lines` instead, which replaces ``min_words``, ``distance`` and ``blocks``.
 
 A null text stays null and an empty one empty. Rows with a null id come first, and repeated rows
 are separate occurrences, so that only one of them keeps its lines. An empty table gives an empty
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions.binding import let
+from assayer.llm import near_lines
 from assayer.llm.bitmaps import bitmap, flagged
 from assayer.llm.components import connected_components
 from assayer.operators.skew import hot_keys, salted_join
@@ -40,10 +42,11 @@ class LineDedupConfig:
     distance: int = 3
     blocks: int = 5
     letters: bool = False
+    shingle: int = 0  # with a length, candidates come from near_lines instead of SimHashes
 
 
 #: What the queries run: copies may differ in punctuation, quotes and any white space.
-WHOLE = LineDedupConfig(letters=True)
+WHOLE = LineDedupConfig(letters=True, shingle=8)
 
 RUN = 16_383  # words whose bits can be counted in lanes of sixteen bits
 _LANES = 0x0001_0001_0001_0001
@@ -215,17 +218,22 @@ def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupCon
     return connected_components(links.unionByName(rest.select("na", "nb")), "na", "nb")
 
 
-def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig = LineDedupConfig()) -> DataFrame:
-    """``row, line`` of every line that repeats an earlier one; ``row`` orders and names the rows."""
-    found = line_occurrences(docs, row, text_col, config)
-    key = ["k1", "k2"]
-    lines = stored(
-        found.groupBy(*key).agg(
-            F.min(F.struct(F.col(row).alias("row"), "line")).alias("first"),
-            F.count(F.lit(1)).alias("n"),
-            F.max("simhash").alias("simhash"),
-        )
-    )
+def lines_of(docs: DataFrame, row: str, text_col: str) -> DataFrame:
+    """``row, line, _raw`` of every line, blank or not."""
+    return docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
+
+
+def fetched_lines(docs: DataFrame, row: str, text_col: str, places: DataFrame, config: LineDedupConfig) -> DataFrame:
+    """``places`` with ``norm``, the normal form of the line at ``first`` (row, line)."""
+    bits = bitmap(places.select(F.xxhash64("first.row", "first.line").alias("h")), "h")
+    near = flagged(lines_of(docs, row, text_col), F.xxhash64(F.col(row), F.col("line")), bits, "_may").filter("_may").drop("_may")
+    found = near.join(places, (F.col(row) == F.col("first.row")) & (F.col("line") == F.col("first.line")))
+    kept = [c for c in places.columns if c != "first"]
+    return stored(found.select(*kept, line_norm(F.col("_raw"), config).alias("norm")).distinct())
+
+
+def simhash_groups(docs: DataFrame, row: str, text_col: str, lines: DataFrame, config: LineDedupConfig) -> DataFrame:
+    """``node, root`` of the lines that SimHashes and edit similarity link."""
     long_lines = lines.filter("simhash is not null")
     groups = long_lines.groupBy("simhash").agg(F.count(F.lit(1)).alias("n"))
     same = groups.filter("n > 1").select(F.col("simhash").alias("a"), F.col("simhash").alias("b"))
@@ -235,16 +243,50 @@ def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupCon
     places = stored(
         long_lines.join(wanted, "simhash", "left_semi").select("first", "simhash", F.struct("k1", "k2").alias("node"))
     )
-    hashed = F.xxhash64(F.col(row), F.col("line"))
-    bits = bitmap(places.select(F.xxhash64("first.row", "first.line").alias("h")), "h")
-    lines_again = docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
-    near = flagged(lines_again, hashed, bits, "_may").filter("_may").drop("_may")
-    texts = stored(
-        near.join(places, (F.col(row) == F.col("first.row")) & (F.col("line") == F.col("first.line")))
-        .select("simhash", "node", line_norm(F.col("_raw"), config).alias("norm"))
-        .distinct()
+    return similar_groups(candidates, fetched_lines(docs, row, text_col, places, config), config)
+
+
+def _normal_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig) -> DataFrame:
+    """``row, line, norm`` of every line that is not blank."""
+    raw = lines_of(docs, row, text_col).filter(F.trim(F.col("_raw"), F.lit(" \t\r")) != "")
+    return raw.select(row, "line", line_norm(F.col("_raw"), config).alias("norm"))
+
+
+def near_groups(docs: DataFrame, row: str, text_col: str, lines: DataFrame, config: LineDedupConfig) -> DataFrame:
+    """``node, root`` of the lines that shingles and edit similarity link."""
+    keys = [F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.length("norm").alias("len")]
+    members = near_lines.members(
+        _normal_lines(docs, row, text_col, config).select(*keys, "norm"), config.shingle, 1 - config.similarity, stored
+    )
+    wanted = members.select("node").distinct()
+    places = stored(
+        lines.select("first", F.struct("k1", "k2").alias("node")).join(wanted, "node", "left_semi")
+    )
+    texts = fetched_lines(docs, row, text_col, places, config)
+    return near_lines.groups(members, texts, 1 - config.similarity, lambda a, b: _similar(a, b, config))
+
+
+def removed_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig = LineDedupConfig()) -> DataFrame:
+    """``row, line`` of every line that repeats an earlier one; ``row`` orders and names the rows."""
+    key = ["k1", "k2"]
+    if config.shingle:
+        found = stored(
+            _normal_lines(docs, row, text_col, config).select(
+                row, "line", F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"),
+                F.lit(None).cast("long").alias("simhash"),
+            )
+        )
+    else:
+        found = line_occurrences(docs, row, text_col, config)
+    lines = stored(
+        found.groupBy(*key).agg(
+            F.min(F.struct(F.col(row).alias("row"), "line")).alias("first"),
+            F.count(F.lit(1)).alias("n"),
+            F.max("simhash").alias("simhash"),
+        )
     )
-    fuzzy_groups = similar_groups(candidates, texts, config).select("node.k1", "node.k2", "root")
+    linked = near_groups if config.shingle else simhash_groups
+    fuzzy_groups = linked(docs, row, text_col, lines, config).select("node.k1", "node.k2", "root")
     grouped = lines.join(fuzzy_groups, key, "left")
     # The occurrence that stays: of the line itself, or of its fuzzy group.
     fuzzy = grouped.filter("root is not null")

@@ -1,5 +1,7 @@
 """Line dedup as the queries run it."""
 
+import random
+
 from assayer.llm import linededup
 
 
@@ -14,3 +16,31 @@ def test_copies_may_differ_in_signs_and_white_space(spark):
     first = ["Read more", "the quick brown fox jumps over it", "---", "\u0915\u093f \u0932", "\u0915\u093e \u0932"]
     copies = ["Read more!", "\u00abread\u00a0more\u00bb", "The quick, brown fox\tjumps over it.", " --- "]
     assert kept(spark, [*first, *copies, "***"]) == [*first, "***"]
+
+
+def similar(a, b):
+    """Edit similarity of at least 0.8, by the whole table of distances."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1] <= int(max(len(a), len(b)) * 0.2 + 1e-9)
+
+
+def changed_word(rng, line):
+    words = line.split()
+    at = rng.randrange(len(words))
+    words[at] = "".join(rng.choice("bcdfgklmpr") for _ in words[at])
+    return " ".join(words)
+
+
+def test_one_changed_word_is_found(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeioustnrlm") for _ in range(rng.randint(3, 8)))
+    first = [" ".join(word() for _ in range(n)) for n in (10, 15, 20, 30, 50) for _ in range(40)]
+    copies = [changed_word(rng, line) for line in first]
+    assert all(map(similar, first, copies))
+    left = kept(spark, first + copies)
+    assert left[: len(first)] == first
+    assert len(left) - len(first) <= 0.05 * len(copies)
