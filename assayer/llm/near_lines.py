@@ -7,10 +7,15 @@ Lines of at least ``SHORT`` characters have the character shingles of their norm
 and the least value of every ``hash xor constant`` kept: for any constant two lines agree with a
 probability equal to the Jaccard similarity of their shingles. A key is a choice of three such
 values. The README states the share of similar pairs that meet.
+
+Shorter lines meet with certainty. A line within ``t`` edits of another contains one of the
+other's ``t + 1`` segments whole, near its place (partition join with the multi-match windows). So
+every short line files its segments, and every line that may be as close looks them up.
 """
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Callable
 from itertools import combinations
@@ -31,6 +36,48 @@ CHOICES = _rng.sample(list(combinations(range(VALUES), 3)), KEYS)
 BOTH, FILED, LOOKED_UP = 0, 1, 2
 
 
+def limit(length: int, share: float) -> int:
+    """The edits allowed to two lines, the longer one of ``length`` characters."""
+    return int(length * share + 1e-9)
+
+
+def plan(share: float) -> list[tuple[int, int, int, int, int, int, int]]:
+    """``len, role, other, edits, segment, start, size``: the substrings that a line of ``len`` takes part with.
+
+    Starts count from 1. ``other`` is the length of the line that files.
+    """
+    out = set()
+    for longer in range(1, SHORT * 2):
+        t = limit(longer, share)
+        for own in range(max(1, longer - t), min(longer, SHORT - 1) + 1):
+            at, gap = 0, longer - own
+            for i in range(t + 1) if t else ():
+                size = own // (t + 1) + (i >= t + 1 - own % (t + 1))
+                out.add((own, FILED, own, t, i, at + 1, size))
+                low, high = max(at - i, at + gap - (t - i), 0), min(at + i, at + gap + (t - i), longer - size)
+                out |= {(longer, LOOKED_UP, own, t, i, p + 1, size) for p in range(low, high + 1)}
+                at += size
+    return sorted(out)
+
+
+def _short_keys(lines: DataFrame, share: float, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``key, node, len, role`` of short lines, and of longer ones that a short one may be like."""
+    fields = ["_len", "role", "other", "edits", "segment", "start", "size"]
+    rows = plan(share)
+    longest = max((r[0] for r in rows), default=0)
+    table = lines.sparkSession.range(1).select(
+        F.explode(F.from_json(F.lit(json.dumps([dict(zip(fields, r)) for r in rows])),
+                              f"array<struct<{','.join(f'{f}:int' for f in fields)}>>")).alias("_p")
+    ).select("_p.*")
+    few = lines.select("k1", "k2", "len", F.explode(F.when(F.col("len") <= longest, F.array("norm"))).alias("norm"))
+    short = stored(few.distinct())
+    piece = F.substring("norm", F.col("start"), F.col("size"))
+    key = F.xxhash64(F.lit(-1), "other", "edits", "segment", piece)
+    return short.join(F.broadcast(table), F.col("len") == F.col("_len")).select(
+        key.alias("key"), F.struct("k1", "k2").alias("node"), "len", "role"
+    )
+
+
 def _long_keys(lines: DataFrame, shingle: int, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``key, node, len, role`` of the other lines."""
     every = F.regexp_extract_all("norm", F.lit(f"(?=(.{{{shingle}}}))"), F.lit(1))
@@ -49,7 +96,7 @@ def members(
     lines: DataFrame, shingle: int, share: float, stored: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """``key, node, len, role`` of the keys on which different lines meet, of rows ``k1, k2, len, norm``."""
-    keyed = _long_keys(lines, shingle, stored)
+    keyed = _long_keys(lines, shingle, stored).unionByName(_short_keys(lines, share, stored))
     # Keys are counted without their lines; a bitmap then keeps nearly all single lines out of the second shuffle.
     repeated = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     bits = bitmap(repeated, "key")

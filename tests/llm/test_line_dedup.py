@@ -2,7 +2,7 @@
 
 import random
 
-from assayer.llm import linededup
+from assayer.llm import linededup, near_lines
 
 
 def kept(spark, lines):
@@ -44,3 +44,27 @@ def test_one_changed_word_is_found(spark):
     left = kept(spark, first + copies)
     assert left[: len(first)] == first
     assert len(left) - len(first) <= 0.05 * len(copies)
+
+
+def test_short_lines_by_brute_force(spark):
+    rng = random.Random(4)
+    first = ["Share this on Facebook", "abcd", "abcde", "read more of it"]
+    first += ["".join(rng.choice("abc de") for _ in range(rng.randint(3, 39))).strip() for _ in range(60)]
+    lines = list(dict.fromkeys(" ".join(x.split()).lower() for x in first if x.split()))
+    for line in list(lines):
+        edited = list(line)
+        for _ in range(rng.randint(1, 10)):
+            at = rng.randrange(len(edited))
+            edited[at : at + 1] = rng.choice([[], ["x"], ["y", edited[at]]])
+            edited = edited or ["z"]
+        lines.append(" ".join("".join(edited).split()) or "z")
+    lines = list(dict.fromkeys(lines))
+    root = list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            if min(len(lines[i]), len(lines[j])) < near_lines.SHORT and similar(lines[i], lines[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert kept(spark, lines) == [x for i, x in enumerate(lines) if root[i] == i]
+    assert 10 < len({r for r in root}) < len(lines) - 10
+    assert kept(spark, ["Share this on Facebook", "Share this on Facebooks."]) == ["Share this on Facebook"]
