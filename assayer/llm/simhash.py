@@ -162,6 +162,22 @@ def ball_links(prints: DataFrame, col: str, distance: int = 3) -> DataFrame:
     return met.distinct()
 
 
+def rooted(nodes: DataFrame, distance: int) -> DataFrame:
+    """``nodes``, one row per ``_print``, with ``_root``: the least fingerprint of the component."""
+    found = connected_components(ball_links(nodes, "_print", distance), "a", "b")
+    return nodes.join(found, F.col("_print") == F.col("node"), "left").select(
+        *nodes.columns, F.coalesce("root", "_print").alias("_root")
+    )
+
+
+def component_heads(docs: DataFrame, key: str, text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """``key, n``: the least ``key`` of every component and how many rows have it."""
+    prints = materialize(docs.select(key, fingerprint_column(F.col(text_col), shingle).alias("_print")))
+    nodes = materialize(prints.groupBy("_print").agg(F.min(key).alias("_least")))
+    heads = rooted(nodes, distance).groupBy("_root").agg(F.min("_least").alias(key)).select(key)
+    return heads.join(prints.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key)
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3
 ) -> DataFrame:
@@ -170,12 +186,9 @@ def near_duplicates(
         docs.select(F.col(id_col).alias("_id"), fingerprint_column(F.col(text_col), shingle).alias("_print"))
     )
     nodes = materialize(prints.groupBy("_print").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_rows")))
-    found = connected_components(ball_links(nodes, "_print", distance), "a", "b")
-    rooted = nodes.join(found, F.col("_print") == F.col("node"), "left").select(
-        "_print", "_least", "_rows", F.coalesce("root", "_print").alias("_root")
-    )
-    least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    component = materialize(rooted.join(least, "_root").select("_print", "_rows", "component_id"))
+    linked = rooted(nodes, distance)
+    least = linked.groupBy("_root").agg(F.min("_least").alias("component_id"))
+    component = materialize(linked.join(least, "_root").select("_print", "_rows", "component_id"))
     joined = salted_join(
         prints, component.select("_print", "component_id"), "_print", hot_keys(component, "_print", "_rows"), "_id"
     )

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.llm import decontaminate, linededup, simhash, toxicity
 from assayer.llm.bpe import BpeCodec
 from assayer.llm.catalog import tokenizer_path, toxicity_model
 from assayer.llm.tables import table
-from assayer.session import ensure_checkpoint_dir
+from assayer.session import ensure_checkpoint_dir, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,13 +39,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of every group linked by SimHash the document with the least id stays.
 
     Null ids come last: such a document stays only in a group without another id. Of repeated
-    rows one stays.
+    rows one stays. Groups are told apart by their fingerprints, so that documents of several
+    groups with one id, or without an id, all stay.
     """
-    groups = simhash.near_duplicates(docs, shingle=3, distance=3)
-    id_kept = groups.select("doc_id", "component_id").distinct().filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = docs.join(id_kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    return kept.withColumn("_copy", first).filter("_copy = 1").drop("_copy")
+    others = [f.name for f in docs.schema if f.name not in ("doc_id", "text") and not isinstance(f.dataType, T.MapType)]
+    key = F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"),
+        F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in others]).alias("o"),
+    )
+    named = docs.withColumn("_key", key)
+    heads = materialize(simhash.component_heads(named, "_key", shingle=3, distance=3))
+    kept = named.join(heads.filter("n = 1").select("_key"), "_key", "left_semi")
+    repeated = named.join(heads.filter("n > 1").select("_key"), "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
