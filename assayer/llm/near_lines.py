@@ -31,7 +31,7 @@ SHORT = 40
 VALUES = 16
 KEYS = 32
 _rng = random.Random(16)
-CONSTANTS = [_rng.getrandbits(64) - (1 << 63) for _ in range(VALUES)]
+CONSTANTS = [_rng.getrandbits(32) - (1 << 31) for _ in range(VALUES)]
 CHOICES = _rng.sample(list(combinations(range(VALUES), 3)), KEYS)
 BOTH, FILED, LOOKED_UP = 0, 1, 2
 
@@ -82,9 +82,9 @@ def _long_keys(lines: DataFrame, shingle: int, stored: Callable[[DataFrame], Dat
     """``key, node, len, role`` of the other lines."""
     every = F.regexp_extract_all("norm", F.lit(f"(?=(.{{{shingle}}}))"), F.lit(1))
     hashes = lines.select("k1", "k2", "len", F.explode(F.when(F.col("len") >= SHORT, every)).alias("_s")).select(
-        "k1", "k2", "len", F.xxhash64("_s").alias("_h")
+        "k1", "k2", "len", F.shiftright(F.xxhash64("_s"), 32).cast("int").alias("_h")
     )
-    least = [F.min(F.col("_h").bitwiseXOR(F.lit(c).cast("long"))).alias(f"m{i}") for i, c in enumerate(CONSTANTS)]
+    least = [F.min(F.col("_h").bitwiseXOR(F.lit(c).cast("int"))).alias(f"m{i}") for i, c in enumerate(CONSTANTS)]
     sketches = stored(hashes.groupBy("k1", "k2", "len").agg(*least))
     keys = [F.xxhash64(F.lit(j), *[f"m{i}" for i in chosen]) for j, chosen in enumerate(CHOICES)]
     return sketches.select(
@@ -100,7 +100,7 @@ def members(
     # Keys are counted without their lines; a bitmap then keeps nearly all single lines out of the second shuffle.
     repeated = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     bits = bitmap(repeated, "key")
-    some = stored(flagged(keyed, F.col("key"), bits, "_may").filter("_may").drop("_may").distinct())
+    some = stored(flagged(keyed, F.col("key"), bits, "_may").filter("_may").drop("_may"))
     met = some.groupBy("key").agg(
         F.min("node").alias("hub"), F.max("node").alias("_last"),
         F.bool_or(F.col("role") != LOOKED_UP).alias("_filed"), F.bool_or(F.col("role") != FILED).alias("_looked"),
