@@ -10,8 +10,8 @@ the blocks are merged with one top-k per query.
 
 Queries travel to blocks in packs, so a task holds one block and one pack at a time and no pair
 of rows is ever a row of a table. Null vectors, vectors with null or non-finite components, and
-rows with a null id take no part, nor do vectors of another length than the first dimension
-count; empty vectors score 0. Equal rows with equal ids count once as a candidate and once as a
+rows with a null id take no part. A query is compared with the vectors of its own length, whatever
+other lengths there are; empty vectors score 0. Equal rows with equal ids count once as a candidate and once as a
 query. An empty table gives an empty result.
 """
 
@@ -91,11 +91,9 @@ def exact_top_k(
         return own.filter("id is not null and v is not null").dropDuplicates(["id", "v"])
 
     rows, asked = ready(vectors), ready(queries)
-    sizes = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    blocks = max(1, -(-sizes[0] // block_rows))
+    blocks = max(1, -(-rows.count() // block_rows))
     packs = max(1, -(-asked.count() // pack_rows))
-    dim = sizes[1] or 0
-    rows, asked = rows.filter(F.size("v") == dim), asked.filter(F.size("v") == dim)
+    rows, asked = (df.withColumn("dim", F.size("v")) for df in (rows, asked))
 
     def hashed(n: int) -> Column:
         return F.pmod(F.xxhash64("id"), F.lit(n))
@@ -106,23 +104,24 @@ def exact_top_k(
     # Every block meets every pack: the stated queries against all rows, in blocks.
     pack = hashed(packs).alias("pack")
     dealt_rows = rows.withColumn("block", hashed(blocks)).select(
-        "block", F.explode(upto(packs)).alias("pack"), "id", "v"
+        "block", F.explode(upto(packs)).alias("pack"), "dim", "id", "v"
     )
     dealt_asked = asked.select(
-        F.explode(upto(blocks)).alias("block"), pack, "id", "v"
+        F.explode(upto(blocks)).alias("block"), pack, "dim", "id", "v"
     )
 
     def search(key: tuple, candidates: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
         if len(candidates) and len(wanted):
             ids = candidates["id"].to_numpy(np.int64)
-            lists = Lists(ids, np.array(candidates["v"].tolist(), np.int64).reshape(len(ids), dim))
+            lists = Lists(ids, np.array(candidates["v"].tolist(), np.int64).reshape(len(ids), int(key[2])))
             for own, vector in sorted(zip(wanted["id"].tolist(), wanted["v"].tolist()), key=lambda x: x[0]):
                 out += [(own, i, s) for s, i in lists.top(np.asarray(vector, np.int64), own, k)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype=np.int64)
 
     schema = T.StructType().add("query_id", "long").add("vec_id", "long").add("score", "long")
-    local = dealt_rows.groupBy("block", "pack").cogroup(dealt_asked.groupBy("block", "pack")).applyInPandas(search, schema)
+    met = ("block", "pack", "dim")
+    local = dealt_rows.groupBy(*met).cogroup(dealt_asked.groupBy(*met)).applyInPandas(search, schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
