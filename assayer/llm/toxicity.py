@@ -67,7 +67,8 @@ class ToxicityModel:
         def score(texts: Sequence[str | None]) -> np.ndarray:
             total, words = sums(texts)
             logits = total[:, 0] / np.maximum(words, 1) + self.bias
-            return 1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500)))
+            # A text without a word is not toxic, whatever the bias.
+            return np.where(words > 0, 1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500))), 0.0)
 
         return score
 
