@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import chat, decontaminate, html_extract, langid, linededup, sharding, simhash, topk, toxicity
+from assayer.llm import chat, decontaminate, html_extract, langid, lexical, linededup, sharding, simhash, topk, toxicity, warc, whitening
 from assayer.llm.bpe import BpeCodec
 from assayer.llm.html_pages import labelled_pages
 from assayer.llm.tables import held_out, table
@@ -168,3 +168,72 @@ def op10_language_id(spark, d):
     return docs.select(
         "doc_id", held_out("doc_id", 4, 2).alias("held_out"), langid.language_of(model, F.col("text")).alias("_l")
     ).select("doc_id", "held_out", "_l.lang_pred", "_l.score")
+
+
+@query
+def op11_embedding_whitening(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"), components=4)
+
+
+@query
+def op12_warc(spark, d):
+    pages = table(spark, d, "pages")
+    folder = warc.write_archives(pages)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(spark, folder, payload=False).select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"), F.col("url").alias("target_uri"), "problem",
+    )
+
+
+ORACLE["op12_warc"] = f"""
+with payloads as (
+  select page_id, url, coalesce(html, '') as html,
+    row_number() over (partition by coalesce(html, '') order by page_id desc nulls last, url desc nulls last) as place,
+    first_value(page_id) over (partition by coalesce(html, '') order by page_id desc nulls last, url desc nulls last) as head
+  from pages
+), hashed as (
+  select *, list_transform(range(0, 4), lambda i: cast('0x' || substr(sha1(html), 1 + 10 * i, 10) as bigint)) as groups
+  from payloads
+)
+select page_id, strlen(html)::bigint as payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i:
+    substr('{warc.BASE32_DIGITS}', 1 + ((groups[1 + i // 8] >> (35 - 5 * (i % 8))) & 31), 1)), 'string_agg', '') as payload_digest,
+  case when place = 1 then 'response' else 'revisit' end as record_type,
+  case when place = 1 then null else head end as refers_to, url as target_uri, null::varchar as problem
+from hashed
+"""
+
+
+@query
+def op13_ranked_search(spark, d):
+    return lexical.ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op13_ranked_search"] = f"""
+with docs as (
+  select doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') as terms from documents
+), sized as (
+  select doc_id, terms, len(terms)::bigint as n from docs where len(terms) > 0
+), facts as (
+  select count(*)::bigint as total, sum(n)::bigint as length from sized
+), wanted as (
+  select distinct item_id, unnest(regexp_extract_all({_LOWER}, '{_TERMS}')) as term from benchmark
+), counts as (
+  select doc_id, n, term, count(*)::bigint as tf from (select doc_id, n, unnest(terms) as term from sized) t
+  where term in (select term from wanted) group by doc_id, n, term
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(total) + 2) / (2 * count(*) + 1)))::bigint as w
+  from counts, facts group by term
+), scored as (
+  select item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * total) // length))))::bigint as score
+  from wanted join counts using (term) join weights using (term), facts group by item_id, doc_id
+), ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
