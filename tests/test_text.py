@@ -129,3 +129,16 @@ def test_random_texts(spark):
     hashes = df.orderBy("i").select(X.content_hash(F.col("c"), F.col("c")).alias("h")).collect()
     want = [hashlib.sha1(f"{t.lower()}||{t.lower()}".encode()).hexdigest() for t in collapsed]
     assert [r.h for r in hashes] == want
+
+
+def test_accents_fold_as_unicode_says_for_every_character(spark):
+    chars = [chr(c) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    rows = ["x".join(chars[i : i + 150]) for i in range(0, len(chars), 150)]
+    rows += ["".join(chars[i : i + 41]) for i in range(0x80, 0x4000, 41)]  # neighbours touch, marks among them
+    rows += ["한국어 각각 ﬃ½ ﬁﬁ", "ệ ệ ệ", "", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    out = df.select("t", TM.fold_accents(F.col("t")).alias("f"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString().split("Scan")[0]
+    for r in out.collect():
+        want = r["t"] and "".join(c for c in unicodedata.normalize("NFKD", r["t"]) if not unicodedata.combining(c))
+        assert r["f"] == want
