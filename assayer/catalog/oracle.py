@@ -437,6 +437,22 @@ ORACLE: dict[str, str] = {
           / sum(n) over (partition by stratum) as spot from b)
       select server_slug, case when spot < 0.7 then 'train' when spot < 0.85 then 'validation' else 'test' end
         as split, cast(g.n as bigint) as rows from g join p using (stratum, bucket)""",
+    "group_stratified_folds": f"""with recursive {REC}, h as (
+        select server_slug, {', '.join(f"count(*) filter (where category = '{label}') as c{i}" for i, label in enumerate(LABEL_NAMES))},
+          count(*) as n from rec group by 1),
+      u as (select server_slug, n, [{', '.join(f"coalesce(c{i} / nullif(sum(c{i}) over (), 0), 0.0)" for i in range(len(LABEL_NAMES)))},
+          n / sum(n) over ()] as v from h),
+      o as (select *, row_number() over (order by list_sum(list_transform(v, lambda x: x * x)) desc,
+          md5('20260714=' || server_slug)) as pos from u),
+      walk as (select cast(0 as bigint) as pos, list_transform(range(0, 5), lambda s:
+          list_transform(range(0, {len(LABEL_NAMES) + 1}), lambda l: cast(0 as double))) as held, cast(0 as bigint) as fold
+        union all select pos, list_transform(range(1, 6), lambda s: case when s <> best then held[s]
+          else list_transform(range(1, {len(LABEL_NAMES) + 2}), lambda l: held[s][l] + v[l]) end), best
+        from (select pos, held, v, cast(list_position(costs, list_min(costs)) as bigint) as best from (
+          select o.pos, held, v, list_transform(range(1, 6), lambda s: list_sum(list_transform(range(1, {len(LABEL_NAMES) + 2}),
+            lambda l: v[l] * (2.0 * (held[s][l] - 0.2) + v[l]))) / 0.2) as costs
+          from walk join o on o.pos = walk.pos + 1) a) b)
+      select server_slug, cast(n as bigint) as rows, cast(walk.fold - 1 as integer) as fold from o join walk using (pos)""",
     "argmax_label": f"select cast(doc_id as varchar) as record_id, cast({_ARGMAX} as bigint) as label_id"
     " from documents",
     "best_epoch": f"""with e as ({EPOCHS_SQL}), r as (

@@ -700,6 +700,11 @@ def group_stratified_split(spark, d):
     return assigned.groupBy("server_slug", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def group_stratified_folds(spark, d):
+    return splitting.stratified_group_folds(V.rec(spark, d), [1.0] * 5, seed=20260714)
+
+
 # Operator names that would clash with functions in this module.
 for _name, _key in {
     "label_encode_ids": "label_encode",

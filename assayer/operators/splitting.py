@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import hashlib
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ from assayer.session import materialize
 # running totals has at most (labels + 1) * 4096 rows however many groups there are.
 BUCKET_DIGITS = 3
 
+# For folds over all labels: a group with at least 1/256 of the rows, or of one label's rows, is placed by itself
+# (there are at most 256 * (labels + 1) of them); the others are placed by 256 buckets per most frequent label.
+OWN_SHARE = 256
+FOLD_BUCKET_DIGITS = 2
+
 
 def group_stratified_split(
     records: DataFrame,
@@ -65,3 +72,85 @@ def assign_splits(
     groups = materialize(groups)
     hot = hot_keys(groups, group_col, "rows")
     return salted_join(records, groups.select(group_col, "split"), group_col, hot, salt_from)
+
+
+def stratified_group_folds(
+    records: DataFrame,
+    shares: Sequence[float],
+    seed: int,
+    group_col: str = "server_slug",
+    label_col: str = "category",
+    labels: Sequence[str] = LABELS,
+) -> DataFrame:
+    """``group, rows, fold``: every group lies in one fold, and every label is shared out alike.
+
+    ``shares`` gives each fold's part of the rows (k equal numbers for k folds). Groups that weigh
+    much, and buckets of the others, become vectors of their shares of every label and of all rows.
+    From the heaviest on, each goes where the squared distance to the wanted shares then grows least.
+    The vectors are bounded in number, whatever the number of groups. A null group is a group; rows
+    without a label count as rows only; an empty table gives an empty result.
+    """
+    whole = sum(shares)
+    wanted = [share / whole for share in shares]
+    counts = [F.count_if(F.col(label_col) == label).alias(f"c{i}") for i, label in enumerate(labels)]
+    parts = [f"c{i}" for i in range(len(labels))] + ["rows"]
+    groups = materialize(records.groupBy(group_col).agg(*counts, F.count(F.lit(1)).alias("rows")))
+    totals = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts]).first()
+    heavy = F.lit(False)
+    for c in parts:
+        if totals[c]:
+            heavy = heavy | (F.col(c) * OWN_SHARE >= totals[c])
+    name = F.coalesce(F.col(group_col).cast("string"), F.lit(""))
+    by_label = F.array(*parts[:-1])
+    stratum = F.when(F.array_max(by_label) == 0, F.lit(-1)).otherwise(argmax_id(by_label))
+    bucket = F.concat_ws(":", stratum, F.substring(F.md5(F.concat(F.lit(str(seed)), name)), 1, FOLD_BUCKET_DIGITS))
+    placed = groups.withColumn("_unit", F.when(heavy, F.concat(F.lit("="), name)).otherwise(bucket))
+    units = placed.groupBy("_unit").agg(*[F.sum(c).alias(c) for c in parts]).collect()
+    folds = _dealt(
+        {u["_unit"]: [u[c] / totals[c] if totals[c] else 0.0 for c in parts] for u in units}, wanted, seed
+    )
+    # At most 256 * (labels + 1) heavy groups and as many buckets.
+    table = records.sparkSession.createDataFrame(sorted(folds.items()), "_unit string, fold int")
+    return placed.join(F.broadcast(table), "_unit").select(group_col, "rows", "fold")
+
+
+def _dealt(units: dict[str, list[float]], wanted: Sequence[float], seed: int) -> dict[str, int]:
+    """The fold of every unit; equal costs go to the first fold."""
+
+    def order(unit: str) -> tuple[float, str]:
+        return -sum(v * v for v in units[unit]), hashlib.md5(f"{seed}{unit}".encode()).hexdigest()
+
+    held = [[0.0] * len(next(iter(units.values()), [])) for _ in wanted]
+    out = {}
+    for unit in sorted(units, key=order):
+        vector = units[unit]
+        costs = [
+            sum(v * (2.0 * (c - share) + v) for v, c in zip(vector, own)) / share for share, own in zip(wanted, held)
+        ]
+        fold = costs.index(min(costs))
+        held[fold] = [c + v for c, v in zip(held[fold], vector)]
+        out[unit] = fold
+    return out
+
+
+def holdout_split(
+    records: DataFrame,
+    folds: Sequence[int] = (7, 6),
+    seeds: Sequence[int] = (20260714, 20260715),
+    names: Sequence[str] = ("test", "validation", "train"),
+    group_col: str = "server_slug",
+    label_col: str = "category",
+    labels: Sequence[str] = LABELS,
+) -> DataFrame:
+    """``group, rows, split``: one of ``folds[0]`` folds is set apart, then one of ``folds[1]`` of the rest.
+
+    Each step deals its groups anew with its own seed; what is left has the last name.
+    """
+    rest, out = records, None
+    for n, seed, name in zip(folds, seeds, names):
+        dealt = materialize(stratified_group_folds(rest, [1.0] * n, seed, group_col, label_col, labels))
+        apart = dealt.filter("fold = 0").select(group_col, "rows", F.lit(name).alias("split"))
+        out = apart if out is None else out.unionByName(apart)
+        left = dealt.filter("fold <> 0").select(F.col(group_col).alias("_kept"))
+        rest = rest.join(left, F.col(group_col).eqNullSafe(F.col("_kept")), "left_semi")
+    return out.unionByName(dealt.filter("fold <> 0").select(group_col, "rows", F.lit(names[-1]).alias("split")))
