@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from assayer.functions import params as P
 from assayer.functions import text as X
 from assayer.labels import LABELS, label_dim, label_encode
+from assayer.session import materialize
 
 # Columns that tell which group a record came from; no model may see them.
 GROUP_COLUMNS = ("server_slug", "slug", "server_name", "server_description")
@@ -111,30 +112,33 @@ def invalid_predictions(scored: DataFrame, pred_col: str) -> DataFrame:
     return scored.join(F.broadcast(dim), F.col(pred_col) == F.col("label"), "left_anti")
 
 
-def guarded_label(pred: Column, labels: Sequence[str] = LABELS) -> Column:
-    """The prediction itself; a value outside the label set fails the job."""
-    message = F.concat(
-        F.lit("prediction outside the label set: "), F.coalesce(pred, F.lit("null"))
-    )
-    return F.when(F.coalesce(pred.isin(*labels), F.lit(False)), pred).otherwise(F.raise_error(message))
+class InvalidPredictions(ValueError):
+    """Predictions outside the label set: how many, and the first of them as ``(record_id, prediction)``."""
+
+    def __init__(self, n: int, first: list[tuple]):
+        super().__init__(f"{n} predictions outside the label set, first: {first}")
+        self.n, self.first = n, first
 
 
-def guard_predictions(
+def checked_predictions(
     scored: DataFrame, pred_col: str, order_col: str = "ordinal", labels: Sequence[str] = LABELS, samples: int = 5
-) -> DataFrame:
-    """``scored`` itself; rows with a prediction outside the label set are an error.
+) -> tuple[DataFrame, int]:
+    """``scored`` from a checkpoint, and its number of rows.
 
-    The message holds their number and the first ``samples`` of them, all from one aggregate.
-    Hand in rows that are cheap to read twice: a checkpoint or a table.
+    Rows and predictions outside the label set are counted while the checkpoint is written, so a
+    good table is never read again. With bad ones the job fails, and only then are the first
+    ``samples`` of them looked up.
     """
     bad = ~F.coalesce(F.col(pred_col).isin(*labels), F.lit(False))
-    wrong = scored.filter(bad).select(order_col, "record_id", F.col(pred_col).alias("predicted"))
-    n = wrong.count()
-    if n:
+    seen = Observation()
+    kept = materialize(
+        scored.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
+    )
+    if seen.get["bad"]:
         # At most ``samples`` rows reach the driver.
-        first = [(r["record_id"], r["predicted"]) for r in wrong.orderBy(order_col).limit(samples).collect()]
-        raise ValueError(f"{n} predictions outside the label set, first: {first}")
-    return scored
+        first = kept.filter(bad).orderBy(order_col).limit(samples).collect()
+        raise InvalidPredictions(seen.get["bad"], [(r["record_id"], r[pred_col]) for r in first])
+    return kept, seen.get["rows"]
 
 
 def argmax_id(scores: Column) -> Column:

@@ -13,8 +13,8 @@ from assayer.labels import LABELS, SPLITS
 from assayer.operators import audit, errors, metrics
 from assayer.operators.model import ModelConfig, fit_classifier, predict, vocabulary_size
 from assayer.operators.records import (
-    guard_predictions,
-    guarded_label,
+    InvalidPredictions,
+    checked_predictions,
     labelled,
     with_correct,
     with_input_text,
@@ -122,20 +122,28 @@ def train_and_evaluate(
     return model, scored
 
 
+def _scored(records: DataFrame, score: Callable[[DataFrame], DataFrame], labels: Sequence[str]) -> tuple[DataFrame, int]:
+    """``ordinal, record_id, category`` of every record, checkpointed and checked, and their number."""
+    if records.isEmpty():
+        raise ValueError("no records to score")
+    texts = with_input_text(records).select("ordinal", "record_id", F.col("input_text").alias("text"))
+    scored = score(texts).select("ordinal", "record_id", F.col("predicted_category").alias("category"))
+    return checked_predictions(scored, "category", labels=labels)
+
+
 def predict_records(
     records: DataFrame, score: Callable[[DataFrame], DataFrame], labels: Sequence[str] = LABELS
 ) -> DataFrame:
     """``ordinal, record_id, category`` for every record; empty input is an error.
 
-    ``score`` adds ``predicted_category`` to a table with a ``text`` column. A prediction
-    outside the label set fails the job, so no output is committed.
+    ``score`` adds ``predicted_category`` to a table with a ``text`` column. The few scored columns
+    are checkpointed; predictions outside the label set are counted on the way and are an
+    error that names their number and the first five.
     """
-    if records.isEmpty():
-        raise ValueError("no records to score")
-    texts = with_input_text(records).select("ordinal", "record_id", F.col("input_text").alias("text"))
-    return score(texts).select(
-        "ordinal", "record_id", guarded_label(F.col("predicted_category"), labels).alias("category")
-    )
+    try:
+        return _scored(records, score, labels)[0]
+    except InvalidPredictions as wrong:
+        raise ValueError(f"prediction outside the label set: {wrong.first[0][1]} ({wrong})") from wrong
 
 
 def predict_to_csv(
@@ -148,18 +156,14 @@ def predict_to_csv(
 ) -> dict[str, float]:
     """Score and write; returns rows, seconds and rows per second.
 
-    The few scored columns are checkpointed first: the guard counts predictions outside the
-    label set and shows five of them, and sorting samples its input, and neither may run the
-    model again. In input order, the default, part files follow the input by name; each has
-    its own header, as Spark's writers have. ``single_file`` gives one part file, one valid
-    CSV, written by one streaming task.
+    The few scored columns are checkpointed first, since sorting samples its input and must not run
+    the model again; rows and predictions outside the label set are counted while that is
+    written. In input order, the default, part files follow the input by name; each has
+    its own header, as Spark's writers have. ``single_file`` gives one valid CSV, whose parts are
+    written by many tasks and joined after that.
     """
-    if records.isEmpty():
-        raise ValueError("no records to score")
-    texts = with_input_text(records).select("ordinal", "record_id", F.col("input_text").alias("text"))
     start = time.perf_counter()
-    scored = materialize(score(texts).select("ordinal", "record_id", F.col("predicted_category").alias("category")))
-    rows = guard_predictions(scored, "category", labels=labels).count()
+    scored, rows = _scored(records, score, labels)
     order = "ordinal" if in_input_order else None
     files.write_predictions_csv(scored, path, order, single_file)
     seconds = time.perf_counter() - start
