@@ -1,11 +1,13 @@
 """Toxicity: averaged subword embeddings under a linear softmax, trained jointly in numpy.
 
 Every word is the mean of the vectors of its character n-grams and of the word itself, a text
-is the mean of its words, and one softmax layer reads that mean. An unseen misspelling shares
-most n-grams with the word that was learnt. After training the whole model is one number per
-n-gram bucket, so that scoring is a sum over the words of a text.
+is the mean of its words and of a learnt neutral vector that counts as a fixed number of words, and one
+softmax layer reads that mean. The neutral vector keeps texts of few words, whose plain mean is
+extreme by chance, near what is usual. An unseen misspelling shares most n-grams with the word that
+was learnt. After training the whole model is one number per n-gram bucket, so that scoring is a
+sum over the words of a text.
 
-Null and empty texts, and texts without a word, get the score of the bias alone. Scores depend
+Null and empty texts, and texts without a word, score 0. Very long texts are read whole, in pieces. Scores depend
 on the text only, so repeated rows score alike. An empty table gives an empty result. Without
 rows of both labels every score is the share of toxic ones, or 0 without any.
 """
@@ -36,6 +38,7 @@ class ToxicityConfig:
     """``max_rows`` per label and ``max_chars`` bound the training sample."""
 
     min_texts: int = 5  # rarer words of the sample add nothing to learn from
+    neutral_words: float = 10.0  # every text's mean takes in the neutral vector as so many words
     n_min: int = 4
     n_max: int = 6
     bits: int = 17
@@ -54,6 +57,7 @@ class ToxicityModel:
     config: ToxicityConfig
     weights: np.ndarray  # one logit per bucket
     bias: float
+    neutral: float = 0.0  # the logit of the neutral vector
 
     def word_logits(self, words: list[str]) -> np.ndarray:
         c = self.config
@@ -66,7 +70,8 @@ class ToxicityModel:
 
         def score(texts: Sequence[str | None]) -> np.ndarray:
             total, words = sums(texts)
-            logits = total[:, 0] / np.maximum(words, 1) + self.bias
+            prior = self.config.neutral_words
+            logits = (total[:, 0] + prior * self.neutral) / np.maximum(words + prior, 1) + self.bias
             # A text without a word is not toxic, whatever the bias.
             return np.where(words > 0, 1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500))), 0.0)
 
@@ -105,9 +110,11 @@ def train(rows: Sequence[tuple[str, int]], config: ToxicityConfig = ToxicityConf
         )
         doc_of.append(np.full(len(ids), doc))
         word_of.append(ids)
-        share_of.append(counts / max(len(words), 1))
+        share_of.append(counts / max(len(words) + config.neutral_words, 1))
     doc, word = np.concatenate(doc_of), np.concatenate(word_of)
     share = np.concatenate(share_of).astype(np.float32)[:, None]
+    sizes = np.array([len(words) for words in tokens], np.float32)[:, None]
+    prior = np.float32(config.neutral_words) / np.maximum(sizes + np.float32(config.neutral_words), 1)
     owner, bucket = subword_buckets(list(places), config.n_min, config.n_max, config.bits)
     used, bucket = np.unique(bucket, return_inverse=True)
     by_word, by_bucket = _runs(word), _runs(bucket)
@@ -118,6 +125,7 @@ def train(rows: Sequence[tuple[str, int]], config: ToxicityConfig = ToxicityConf
         rng.uniform(-1, 1, (len(used), config.dim)).astype(np.float32) / 100,
         rng.uniform(-1, 1, (config.dim, 2)).astype(np.float32) / config.dim,
         np.zeros((1, 2), np.float32),
+        np.zeros((1, config.dim), np.float32),
     ]
     # Adam with a floor under its scale: an n-gram whose gradient is below the floor, as that of
     # rare ones is by chance, moves in proportion to it and stays small.
@@ -128,9 +136,9 @@ def train(rows: Sequence[tuple[str, int]], config: ToxicityConfig = ToxicityConf
     # Both labels weigh alike, whatever their shares in the sample.
     weigh = (0.5 / np.bincount(labels, minlength=2)).astype(np.float32)[labels][:, None]
     for step in range(1, config.epochs + 1):
-        table, layer, bias = params
+        table, layer, bias, neutral = params
         words = _sums_by(table[bucket], *by_owner, len(places)) / per_word
-        means = _sums_by(words[word] * share, *by_doc, len(rows))
+        means = _sums_by(words[word] * share, *by_doc, len(rows)) + prior * neutral
         logits = config.scale * means @ layer + bias
         logits -= logits.max(axis=1, keepdims=True)
         odds = np.exp(logits)
@@ -141,16 +149,18 @@ def train(rows: Sequence[tuple[str, int]], config: ToxicityConfig = ToxicityConf
             _sums_by(to_words[owner], *by_bucket, len(used)),
             config.scale * means.T @ error,
             error.sum(axis=0, keepdims=True),
+            (prior * to_means).sum(axis=0, keepdims=True),
         ]
-        floors = floors or [float(np.quantile(np.abs(g), q)) for g, q in zip(grads, (config.floor, 0, 0))]
+        floors = floors or [float(np.quantile(np.abs(g), q)) for g, q in zip(grads, (config.floor, 0, 0, 0))]
         for p, g, m, v, floor in zip(params, grads, first, second, floors):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p -= config.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + floor + 1e-12)
-    table, layer, bias = params
+    table, layer, bias, neutral = params
     weights = np.zeros(1 << config.bits, np.float32)
     weights[used] = config.scale * (table @ (layer[:, 1] - layer[:, 0]))
-    return ToxicityModel(config, weights, float(bias[0, 1] - bias[0, 0]))
+    apart = config.scale * (layer[:, 1] - layer[:, 0])
+    return ToxicityModel(config, weights, float(bias[0, 1] - bias[0, 0]), float(neutral[0] @ apart))
 
 
 def fit(
