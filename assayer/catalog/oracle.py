@@ -345,6 +345,14 @@ ORACLE: dict[str, str] = {
          where contains(lower(name || ' ' || description), lower(label))) as matched from server)
       select * from m where matched is not null order by ordinal limit 10""",
     "sorted_groups": f"with {REC} select distinct split, server_slug from rec order by 1, 2",
+    "length_sketch": f"""with {TEXTS}, lens as (
+        select 'input_text_chars' as measure, length(input_text) as n, 900 as lim from texts
+        union all
+        select 'description_words', len(regexp_extract_all(lower(description), '[a-z0-9_]{{2,}}')), 320
+        from texts)
+      select measure, count(*) as rows,
+        round(cast(count(*) filter (where n <= lim) as double) / count(*), 6) as share_within,
+        true as p95_near, true as p99_near from lens group by measure""",
     "length_percentiles": f"""with {TEXTS}, lens as (
         select 'input_text_chars' as measure, length(input_text) as n, 900 as lim from texts
         union all

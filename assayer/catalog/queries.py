@@ -444,18 +444,42 @@ def sorted_groups(spark, d):
     return audit.sorted_groups(V.rec(spark, d))
 
 
-@query
-def length_percentiles(spark, d):
+def _lengths(spark, d):
     texts = R.with_input_text(_rec(spark, d))
     words = F.size(F.regexp_extract_all(F.lower("description"), F.lit(r"[a-z0-9_]{2,}"), F.lit(0)))
     measures = [("input_text_chars", X.char_length(F.col("input_text")), 900), ("description_words", words.cast("bigint"), 320)]
     cells = F.array(
         *[F.struct(F.lit(m).alias("measure"), n.alias("n"), F.lit(limit).alias("limit")) for m, n, limit in measures]
     )
-    lengths = texts.select(F.explode(cells).alias("c")).select("c.*")
+    return texts.select("split", F.explode(cells).alias("c")).select("split", "c.*")
+
+
+@query
+def length_percentiles(spark, d):
+    lengths = _lengths(spark, d)
     return _round(audit.length_percentiles(lengths, "n", F.col("limit"), by=["measure"]), "p95", "p99", "share_within")
 
 
+@query
+def length_sketch(spark, d):
+    """Sketches of every split merged; whether the ranks of their percentiles are within the stated error."""
+    lengths = materialize(_lengths(spark, d))
+    states = audit.length_sketches(lengths, "n", F.col("limit"), by=["split", "measure"])
+    found = materialize(audit.sketched_percentiles(states, by=["measure"]))
+    # One row per measure.
+    shown = F.broadcast(found.withColumnRenamed("rows", "total"))
+    error = F.lit(audit.rank_error())
+
+    def near(p: str, q: float):
+        below, upto = F.count_if(F.col("n") < F.col(p)), F.count_if(F.col("n") <= F.col(p))
+        total = F.max("total")
+        return ((below / total <= q + error) & (upto / total >= q - error)).alias(f"{p}_near")
+
+    return _round(lengths.join(shown, "measure").groupBy("measure").agg(
+        F.max("total").alias("rows"), F.max("share_within").alias("share_within"), near("p95", 0.95), near("p99", 0.99)
+    ), "share_within")
+
+
 # --- metrics ----------------------------------------------------------------------------
 
 
