@@ -12,7 +12,8 @@ Queries travel to blocks in packs, so a task holds one block and one pack at a t
 of rows is ever a row of a table. Null vectors, vectors with null or non-finite components, and
 rows with a null id take no part. A query is compared with the vectors of its own length, whatever
 other lengths there are; empty vectors score 0. Equal rows with equal ids count once as a candidate and once as a
-query. An empty table gives an empty result.
+query. An empty table gives an empty result. Scores are exact integers; one that exceeds a long is an
+error. Columns beside the two that are read are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,15 +35,19 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")  # so that ties meet the smaller id first
-        self.ids, self.rows = ids[order], rows[order].astype(np.float64)
-        self.lists = np.argsort(self.rows, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(self.rows, self.lists, axis=0)
+        self.ids, self.whole = ids[order], rows[order]
+        self.rows = self.whole.astype(np.float64)
+        self.reach = max(abs(int(rows.max(initial=0))), abs(int(rows.min(initial=0))))
+        self.lists = np.argsort(self.whole, axis=0, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(self.whole, self.lists, axis=0)
 
     def top(self, query: np.ndarray, own: int, k: int, depth: int = 64) -> list[tuple[int, int]]:
         """``(score, id)`` of the best ``k`` rows but ``own``, ties to the smaller id."""
-        n, weights = len(self.ids), query.astype(np.float64)
-        used = np.flatnonzero(weights)
-        down = weights[used] > 0
+        n, used = len(self.ids), np.flatnonzero(query)
+        down = query[used] > 0
+        # Doubles hold every sum where none can reach 2^53; beyond that Python's integers do.
+        small = self.reach * sum(abs(w) for w in query.tolist()) < 1 << 53
+        rows, weights = (self.rows, query.astype(np.float64)) if small else (self.whole, query.astype(object))
         seen = np.zeros(n, bool)
         seen[np.searchsorted(self.ids, own) : np.searchsorted(self.ids, own, "right")] = True
         best: list[tuple[int, int]] = []
@@ -58,8 +63,8 @@ class Lists:
             new = np.flatnonzero(met & ~seen)
             seen[new] = True
             if len(new):
-                scores = self.rows[new] @ weights
-                if len(new) > k:
+                scores = rows[new] @ weights if small else rows[new].astype(object) @ weights
+                if small and len(new) > k:
                     edge = np.partition(scores, len(new) - k)[len(new) - k]
                     new, scores = new[scores >= edge], scores[scores >= edge]
                     first = np.lexsort((new, -scores))[:k]
@@ -67,7 +72,7 @@ class Lists:
                 best = sorted(best + [(-int(s), int(self.ids[i])) for s, i in zip(scores, new)])[:k]
             if stop < n and len(best) == k:
                 ends = np.where(down, self.sorted[n - stop, used], self.sorted[stop - 1, used])
-                if -best[-1][0] > float(ends @ weights[used]):
+                if -best[-1][0] > int(ends.astype(weights.dtype) @ weights[used]):
                     break
             at, depth = stop, depth * 2
         return [(-s, i) for s, i in best]
