@@ -5,10 +5,13 @@ words that a document shares with a benchmark item. For every pair with seeds, t
 greedily: Karp-Rabin hashes find the longest run of unmarked words that both sides share, it is
 marked on both sides, and so on down to ``min_match`` words. Tiles never overlap and may come in
 any order, so reordered passages count. The share of an item's words that lie in tiles is its
-coverage. Items shorter than ``min_match`` use their own length.
+coverage. Items shorter than ``min_match`` use their own length, but have no run that tells a passage
+from chance: they count only in a text of which they are the share ``min_coverage`` or more.
 
 Null texts and texts without words are neither contaminated nor contaminate. Repeated rows get
-the same result each. Null ids are kept. Empty tables give empty results.
+the same result each. Null ids are kept, and ids may be of any type. Very long texts are read whole.
+Empty tables give empty results. Other columns stay as they are in :func:`clean_documents`, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from assayer.llm.subwords import live, pieces
 
@@ -145,7 +149,8 @@ class Benchmark:
         )
         shared: dict[int, list[tuple[int, int]]] = {}  # item: (start, length) of its seeds in the text
         for length, table in self.tables.items():
-            if len(ids) < length:
+            short = length < self.config.min_match and length < self.config.min_coverage * len(ids)
+            if len(ids) < length or short:
                 continue
             runs = np.lib.stride_tricks.sliding_window_view(ids, length)
             known = np.flatnonzero((runs >= 0).all(axis=1))
@@ -190,8 +195,7 @@ def matches_column(text: Column, items: list[tuple], id_type: T.DataType, config
     """``array<struct(item_id, coverage, tiles)>`` of a whole text against one block of items."""
     held, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
     kind = T.ArrayType(T.StructType().add("item_id", id_type).add("coverage", "double").add("tiles", "integer"))
-    arrow_id = pa.int64() if isinstance(id_type, T.LongType) else pa.int32() if isinstance(id_type, T.IntegerType) else pa.string()
-    arrow = pa.list_(pa.struct([("item_id", arrow_id), ("coverage", pa.float64()), ("tiles", pa.int32())]))
+    arrow = pa.list_(pa.struct([("item_id", to_arrow_type(id_type)), ("coverage", pa.float64()), ("tiles", pa.int32())]))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         block = live(key, lambda: Benchmark(held.value, config))
