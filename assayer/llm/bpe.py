@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.llm.subwords import PIECE_CHARS, live, pieces
-from assayer.session import ensure_checkpoint_dir
+from assayer.session import ensure_checkpoint_dir, materialize
 
 LEXICON_WORDS = 100_000
+SHORT_WORD = 64  # symbols up to which a word is merged by scans, without a queue
 _SPACE = regex.compile(r"\s+")
 # Texts are cut for counting and encoding where white space follows other text: no word crosses it.
 _BREAK = re.compile(r"(?<=\S) ")
@@ -96,6 +97,11 @@ class Tokenizer:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+        self.ranks = {pair: rank for pair, (rank, _) in self.merges.items()}
+        self.made = {rank: new for rank, new in self.merges.values()}
+        self.no_rank = len(model["merges"])
+        self.inner = [self.vocab.get(c) for c in self.alphabet]
+        self.last = [self.vocab.get(c + self.suffix) for c in self.alphabet]
         size = 1 + max([*self.vocab.values(), *self.added.values(), -1])
         self.strings = np.full(size, "", object)
         for token, i in chain(self.vocab.items(), self.added.items()):
@@ -127,11 +133,23 @@ class Tokenizer:
 
     def merge(self, word: str) -> list[int]:
         """Exact ids: the pair of least rank first, the leftmost among equals, until none is left."""
-        symbols = [self.alphabet[b] for b in word.encode("utf-8", "surrogatepass")]
-        if symbols:
-            symbols[-1] += self.suffix
-        ids = [self.vocab[s] for s in symbols if s in self.vocab]
-        if len(ids) < 2:
+        data = word.encode("utf-8", "surrogatepass")
+        ids = [self.inner[b] for b in data[:-1]] + [self.last[b] for b in data[-1:]]
+        if None in ids:
+            ids = [i for i in ids if i is not None]
+        if len(ids) <= SHORT_WORD:
+            # Few pairs: their least rank is found by a scan, and a merge changes two of them.
+            rank_of, none = self.ranks.get, self.no_rank
+            ranks = [rank_of(pair, none) for pair in zip(ids, ids[1:])]
+            while ranks and (least := min(ranks)) != none:
+                at = ranks.index(least)
+                new = self.made[least]
+                ids[at : at + 2] = [new]
+                del ranks[at]
+                if at:
+                    ranks[at - 1] = rank_of((ids[at - 1], new), none)
+                if at < len(ranks):
+                    ranks[at] = rank_of((new, ids[at + 1]), none)
             return ids
         after = list(range(1, len(ids))) + [-1]
         before = list(range(-1, len(ids) - 1))
@@ -299,9 +317,22 @@ def ship_lexicon(spark: SparkSession, tokenizer: Tokenizer, words: Sequence[str]
 
 
 def frequent_words(docs: DataFrame, text_col: str, spec: Broadcast, size: int = LEXICON_WORDS) -> list[str]:
-    """The ``size`` most frequent words of all texts; ties go to the word that sorts first."""
-    top = word_counts(docs, text_col, spec).orderBy(F.desc("n"), "word").limit(size)
-    return [r["word"] for r in top.select("word").collect()]
+    """The ``size`` most frequent words of all texts; of words as frequent as the next one, none.
+
+    The driver gets a table of how many words have each count, added up to powers of two over
+    4,096, and then the words chosen.
+    """
+    counts = materialize(word_counts(docs, text_col, spec))
+    # Counts that share their first 12 binary digits are told apart by nothing: one step of the table.
+    step = F.expr("n - n % shiftleft(1L, cast(greatest(0, floor(log2(n)) - 11) as int))")
+    seen, least = 0, None
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        if seen + row["count"] > size:
+            break
+        seen, least = seen + row["count"], row["step"]
+    if least is None:
+        return []
+    return [r["word"] for r in counts.filter(F.col("n") >= least).select("word").collect()]
 
 
 class _Encoder:
@@ -309,44 +340,66 @@ class _Encoder:
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Automaton, max_words: int = 200_000):
         self.tokenizer, self.lexicon, self.max_words = tokenizer, lexicon, max_words
-        self._forget()
-
-    def _forget(self) -> None:
         self.places: dict[str | int, int] = {}
+        self.common: list[str] = []  # the words in the table that the lexicon has
         self.sizes = np.zeros(1024, np.int64)
         self.starts = np.zeros(1024, np.int64)
         self.flat = np.zeros(4096, np.int32)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Drop the words that the lexicon lacks; all words, if its words alone fill half the table."""
+        kept = self.common if len(self.common) <= self.max_words // 2 else []
+        ids, sizes = self._gather(np.fromiter(map(self.places.__getitem__, kept), np.int64, len(kept)))
+        self.common = list(kept)
+        self.places = {word: place for place, word in enumerate(kept)}
+        self.used = 0
+        self._append(sizes, ids)
+
+    def _append(self, sizes: Sequence[int], ids: Sequence[int]) -> None:
+        """The ids of the words placed last; ``places`` counts these words already."""
+        total, end = len(self.places), self.used + len(ids)
+        first = total - len(sizes)
+        if total > len(self.sizes):
+            self.sizes = np.resize(self.sizes, 2 * total)
+            self.starts = np.resize(self.starts, 2 * total)
+        if end > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * end)
+        self.sizes[first:total] = sizes
+        ends = self.used + np.cumsum(self.sizes[first:total])
+        self.starts[first:total] = ends - self.sizes[first:total]
+        self.flat[self.used : end] = ids
+        self.used = end
+
+    def _gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at some places, and how many each word has."""
+        sizes = self.sizes[place]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.starts[place] - (ends - sizes), sizes) + np.arange(total)], sizes
+
     def _learn(self, words: set) -> None:
         new = words - self.places.keys()
         if len(self.places) + len(new) > self.max_words and self.places:
             self._forget()
-            new = words
+            new = words - self.places.keys()
+        sizes, flat = [], []
         for word in new:
             if isinstance(word, int):
                 ids = [word]
             elif (ids := self.lexicon.get(word)) is None:
                 ids = self.tokenizer.merge(word)
-            place = len(self.places)
-            if place == len(self.sizes):
-                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.sizes[place], self.starts[place] = len(ids), self.used
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.places[word] = place
+            else:
+                self.common.append(word)
+            self.places[word] = len(self.places)
+            sizes.append(len(ids))
+            flat += ids
+        self._append(sizes, flat)
 
     def _ids(self, words: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some words, and how many each word has."""
         self._learn(set(words))
-        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[place]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[place] - (ends - sizes), sizes) + np.arange(total)], sizes
+        return self._gather(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
 
     def encode(self, texts: Sequence[str | None]) -> pa.ListArray:
         arrays, counts = [], []
