@@ -139,7 +139,7 @@ select query_id::bigint as query_id, rank::int as rank, vec_id::bigint as vec_id
 @query
 def op7_line_dedup(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return linededup.dedup_lines(docs, config=linededup.WHOLE, removed_col="removed_lines")
+    return linededup.dedup_lines(docs, config=linededup.SIMHASH, removed_col="removed_lines")
 
 
 @query

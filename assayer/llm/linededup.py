@@ -26,6 +26,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.functions.binding import let
 from assayer.llm import near_lines
@@ -42,12 +43,16 @@ class LineDedupConfig:
     distance: int = 3
     blocks: int = 5
     letters: bool = False
+    reach: int = 3  # pairs that meet on a block key are verified up to so many bits, at least ``distance``
     shingle: int = 0  # with a length, candidates come from near_lines instead of SimHashes
 
 
 #: What the queries run: copies may differ in punctuation, quotes and any white space.
 WHOLE = LineDedupConfig(letters=True, shingle=8)
 
+#: The same by the SimHashes of words, as the queries run it.
+SIMHASH = LineDedupConfig(letters=True, reach=12)
+
 RUN = 16_383  # words whose bits can be counted in lanes of sixteen bits
 _LANES = 0x0001_0001_0001_0001
 
@@ -79,15 +84,22 @@ def line_simhashes(words: DataFrame, keys: list[str]) -> DataFrame:
     are lanes of 16 longs, four in each, so that one aggregate of 16 sums counts them. Adding
     ``2^14 - 1 - n div 2`` to a lane sets its bit 14 exactly if its count is over ``n / 2``.
     Lanes hold up to 16,383 different words; the sums of longer lines are added up in wider ones.
+
+    Rows are grouped by a number of their own, so that equal rows stay apart and no group is larger than
+    its line; the keys ride along as greatest values, which are hashed once a line, not once a word.
     """
-    hashes = words.select(
-        *keys, F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("_hashes")
-    )
-    each = hashes.select(*keys, F.size("_hashes").alias("n"), F.posexplode("_hashes").alias("_at", "_h")).select(
-        *keys, "n", F.expr(f"_at div {RUN}").alias("_run"), "_h"
+    numbered = words.select(
+        F.monotonically_increasing_id().alias("_line"), *keys,
+        F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))).alias("_hashes"),
     )
+    each = numbered.select(
+        "_line", *keys, F.size("_hashes").alias("n"), F.posexplode("_hashes").alias("_at", "_h")
+    ).select("_line", *keys, "n", F.expr(f"_at div {RUN}").alias("_run"), "_h")
     lane = lambda i: F.shiftrightunsigned("_h", i).bitwiseAND(_long(_LANES))
-    sums = each.groupBy(*keys, "n", "_run").agg(*[F.sum(lane(i)).alias(f"_c{i}") for i in range(16)])
+    sums = each.groupBy("_line", "_run").agg(
+        *[F.max(F.col(c)).alias(c) for c in keys], F.max("n").alias("n"),
+        *[F.sum(lane(i)).alias(f"_c{i}") for i in range(16)],
+    )
     lift = (_long((1 << 14) - 1) - F.floor(F.col("n") / F.lit(2)).cast("long")) * _long(_LANES)
     bits = None
     for i in range(16):
@@ -97,19 +109,19 @@ def line_simhashes(words: DataFrame, keys: list[str]) -> DataFrame:
     counted = F.array(*[f"_c{i}" for i in range(16)])
     whole = F.col("n") <= RUN
     table = stored(
-        sums.select(*keys, "n", F.when(whole, bits).alias("simhash"), F.when(~whole, counted).alias("_counts"))
+        sums.select("_line", *keys, "n", F.when(whole, bits).alias("simhash"), F.when(~whole, counted).alias("_counts"))
     )
     # Bit 16 j + i is in lane j of count i.
     wide = lambda b: F.shiftrightunsigned(F.get("_counts", F.lit(b % 16)), 16 * (b // 16)).bitwiseAND(32767)
-    long_lines = table.filter("simhash is null").groupBy(*keys, "n").agg(
-        *[F.sum(wide(b)).alias(f"_b{b}") for b in range(64)]
+    long_lines = table.filter("simhash is null").groupBy("_line").agg(
+        *[F.max(F.col(c)).alias(c) for c in (*keys, "n")], *[F.sum(wide(b)).alias(f"_b{b}") for b in range(64)]
     )
     value = None
     for b in range(64):
         mask = (1 << b) - (1 << 64 if b == 63 else 0)
         term = F.when(F.col(f"_b{b}") * 2 > F.col("n"), _long(mask)).otherwise(_long(0))
         value = term if value is None else value.bitwiseOR(term)
-    return table.filter("simhash is not null").drop("_counts").unionByName(
+    return table.filter("simhash is not null").drop("_counts", "_line").unionByName(
         long_lines.select(*keys, "n", value.alias("simhash"))
     )
 
@@ -132,11 +144,12 @@ def _block_keys(simhash: Column, config: LineDedupConfig) -> list[Column]:
 
 
 def similar_simhashes(distinct: DataFrame, config: LineDedupConfig) -> DataFrame:
-    """Pairs ``a < b`` of distinct SimHashes at most ``distance`` bits apart, each once."""
+    """Pairs ``a < b`` of distinct SimHashes, each once: all at most ``distance`` bits apart, and those up to
+    ``reach`` bits apart that agree on enough blocks all the same."""
     keyed = distinct.select("simhash", F.explode(F.array(*_block_keys(F.col("simhash"), config))).alias("key"))
     left = keyed.select("key", F.col("simhash").alias("a"))
     right = keyed.select("key", F.col("simhash").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= config.distance
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max(config.reach, config.distance)
     return left.join(right, "key").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
@@ -147,12 +160,34 @@ def _similar(a: str, b: str, config: LineDedupConfig) -> Column:
     """
     limit = f"cast(floor(greatest(length({a}), length({b})) * {1 - config.similarity!r} + 1e-9) as int)"
     within = lambda bound: f"levenshtein({a}, {b}, {bound}) >= 0"
-    return F.expr(
-        f"case when abs(length({a}) - length({b})) > {limit} then false"
-        f" when {within(f'least(16, {limit})')} then true when {limit} <= 16 then false"
-        f" when {within(f'least(64, {limit})')} then true when {limit} <= 64 then false"
-        f" else {within(limit)} end"
+    steps = "".join(
+        f" when {within(f'least({bound}, {limit})')} then true when {limit} <= {bound} then false"
+        for bound in (16, 64, 256, 1024, 4096, 16384)
     )
+    return F.expr(f"case when abs(length({a}) - length({b})) > {limit} then false{steps} else {within(limit)} end")
+
+
+def _coded(norm: Column) -> Column:
+    """``text, code, most``: a normal form, the same with one character for every word, and its longest word.
+
+    A word's character is one of 2^20, chosen by its hash.
+    """
+    words = F.split(norm, " ", -1)
+    unit = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), _long(1 << 20)) + _long(1 << 16)), 8, "0")
+    code = F.decode(F.unhex(F.array_join(F.transform(words, unit), "")), "UTF-32")
+    return F.struct(norm.alias("text"), code.alias("code"), F.array_max(F.transform(words, F.length)).alias("most"))
+
+
+def _similar_coded(a: str, b: str, config: LineDedupConfig) -> Column:
+    """:func:`_similar` of two forms by :func:`_coded`.
+
+    An edit of words costs at most the longest word and a space in characters. So few enough edits of
+    words prove the similarity, at a fraction of the cells; all other pairs are compared by characters.
+    """
+    limit = f"floor(greatest(length({a}.text), length({b}.text)) * {1 - config.similarity!r} + 1e-9)"
+    few = f"cast({limit} div (greatest({a}.most, {b}.most) + 1) as int)"
+    close = F.expr(f"abs(length({a}.text) - length({b}.text)) <= {limit}")
+    return close & (F.expr(f"levenshtein({a}.code, {b}.code, {few}) >= 0") | _similar(f"{a}.text", f"{b}.text", config))
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -168,21 +203,22 @@ def line_occurrences(docs: DataFrame, row: str, text_col: str, config: LineDedup
 
     The keys name the normal form; lines of fewer than ``min_words`` words have no SimHash.
     """
-    lines = docs.select(F.col(row), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line", "_raw"))
-    normal = lines.select(row, "line", line_norm(F.col("_raw"), config).alias("_norm"))
-    words = normal.select(row, "line", F.array_remove(F.split("_norm", " ", -1), "").alias("words"))
-    norm = F.array_join("words", " ")
-    named = words.select(
-        row, "line", F.xxhash64(norm).alias("k1"), F.xxhash64(F.lit(1), norm).alias("k2"),
-        (F.size("words") >= config.min_words).alias("long"), "words",
-    )
-    return line_simhashes(named, [row, "line", "k1", "k2", "long"]).select(
-        row, "line", "k1", "k2", F.when(F.col("long"), F.col("simhash")).alias("simhash")
+    # A struct travels as its fields, which a hash aggregate can hold if they are of fixed width.
+    kind = docs.schema[row].dataType
+    fields = [f"{row}.{f}" for f in kind.names] if isinstance(kind, T.StructType) else [row]
+    names = [f"_id{i}" for i in range(len(fields))]
+    words = _normal_lines(docs, row, text_col, config).select(
+        *[F.col(f).alias(n) for f, n in zip(fields, names)], "line",
+        F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.split("norm", " ", -1).alias("words"),
+    ).withColumn("long", F.size("words") >= config.min_words)
+    back = F.struct(*[F.col(n).alias(f) for n, f in zip(names, kind.names)]) if isinstance(kind, T.StructType) else F.col(names[0])
+    return line_simhashes(words, [*names, "line", "k1", "k2", "long"]).select(
+        back.alias(row), "line", "k1", "k2", F.when(F.col("long"), F.col("simhash")).alias("simhash")
     )
 
 
 def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupConfig) -> DataFrame:
-    """``node, root`` of the groups that verified links make of ``texts`` (``simhash, node, norm``).
+    """``node, root`` of the groups that verified links make of ``texts`` (``simhash, node, norm``, coded).
 
     ``candidates`` holds the pairs ``a <= b`` of SimHashes whose lines may be linked. Comparing
     all their lines would cost the square of a large group of near copies, so it is done in two
@@ -195,10 +231,10 @@ def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupCon
             "simhash", F.col("h.node").alias("hub"), F.col("h.norm").alias("hub_norm")
         )
     )
-    own = texts.join(hubs, "simhash").filter(F.col("node") != F.col("hub")).filter(_similar("norm", "hub_norm", config))
+    own = texts.join(hubs, "simhash").filter(F.col("node") != F.col("hub")).filter(_similar_coded("norm", "hub_norm", config))
     first = hubs.select(F.col("simhash").alias("a"), F.col("hub").alias("na"), F.col("hub_norm").alias("ta"))
     second = hubs.select(F.col("simhash").alias("b"), F.col("hub").alias("nb"), F.col("hub_norm").alias("tb"))
-    apart = candidates.filter("a <> b").join(first, "a").join(second, "b").filter(_similar("ta", "tb", config))
+    apart = candidates.filter("a <> b").join(first, "a").join(second, "b").filter(_similar_coded("ta", "tb", config))
     links = materialize(
         own.select(F.col("node").alias("na"), F.col("hub").alias("nb")).unionByName(apart.select("na", "nb"))
     )
@@ -214,7 +250,7 @@ def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupCon
         return groups
     one = members.select(F.col("simhash").alias("a"), F.col("group").alias("ga"), F.col("node").alias("na"), F.col("norm").alias("ta"))
     two = members.select(F.col("simhash").alias("b"), F.col("group").alias("gb"), F.col("node").alias("nb"), F.col("norm").alias("tb"))
-    rest = open_pairs.join(one, ["a", "ga"]).join(two, ["b", "gb"]).filter(_similar("ta", "tb", config))
+    rest = open_pairs.join(one, ["a", "ga"]).join(two, ["b", "gb"]).filter(_similar_coded("ta", "tb", config))
     return connected_components(links.unionByName(rest.select("na", "nb")), "na", "nb")
 
 
@@ -226,7 +262,9 @@ def lines_of(docs: DataFrame, row: str, text_col: str) -> DataFrame:
 def fetched_lines(docs: DataFrame, row: str, text_col: str, places: DataFrame, config: LineDedupConfig) -> DataFrame:
     """``places`` with ``norm``, the normal form of the line at ``first`` (row, line)."""
     bits = bitmap(places.select(F.xxhash64("first.row", "first.line").alias("h")), "h")
-    near = flagged(lines_of(docs, row, text_col), F.xxhash64(F.col(row), F.col("line")), bits, "_may").filter("_may").drop("_may")
+    rows = bitmap(places.select(F.xxhash64("first.row").alias("h")), "h")
+    held = flagged(docs, F.xxhash64(row), rows, "_may").filter("_may").drop("_may")
+    near = flagged(lines_of(held, row, text_col), F.xxhash64(F.col(row), F.col("line")), bits, "_may").filter("_may").drop("_may")
     found = near.join(places, (F.col(row) == F.col("first.row")) & (F.col("line") == F.col("first.line")))
     kept = [c for c in places.columns if c != "first"]
     return stored(found.select(*kept, line_norm(F.col("_raw"), config).alias("norm")).distinct())
@@ -243,7 +281,8 @@ def simhash_groups(docs: DataFrame, row: str, text_col: str, lines: DataFrame, c
     places = stored(
         long_lines.join(wanted, "simhash", "left_semi").select("first", "simhash", F.struct("k1", "k2").alias("node"))
     )
-    return similar_groups(candidates, fetched_lines(docs, row, text_col, places, config), config)
+    texts = fetched_lines(docs, row, text_col, places, config)
+    return similar_groups(candidates, stored(texts.withColumn("norm", _coded(F.col("norm")))), config)
 
 
 def _normal_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig) -> DataFrame:
