@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every line that repeats an earlier one is taken out; ``n_chars`` follows the text."""
-    cleaned = linededup.dedup_lines(docs, config=linededup.WHOLE)
+    cleaned = linededup.dedup_lines(docs, config=linededup.SIMHASH)
     if "n_chars" not in docs.columns:
         return cleaned
     kind = docs.schema["n_chars"].dataType
