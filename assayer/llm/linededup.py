@@ -143,14 +143,20 @@ def _block_keys(simhash: Column, config: LineDedupConfig) -> list[Column]:
     return out
 
 
-def similar_simhashes(distinct: DataFrame, config: LineDedupConfig) -> DataFrame:
-    """Pairs ``a < b`` of distinct SimHashes, each once: all at most ``distance`` bits apart, and those up to
-    ``reach`` bits apart that agree on enough blocks all the same."""
+def _near(a: str, b: str, config: LineDedupConfig) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max(config.reach, config.distance)
+
+
+def met_keys(distinct: DataFrame, config: LineDedupConfig) -> DataFrame:
+    """``key, simhash``: the block keys on which a SimHash meets another one near enough, stored.
+
+    All SimHashes at most ``distance`` bits apart meet, and those up to ``reach`` bits apart that
+    agree on enough blocks all the same. No pairs come out, so a hot key costs no more than its rows.
+    """
     keyed = distinct.select("simhash", F.explode(F.array(*_block_keys(F.col("simhash"), config))).alias("key"))
-    left = keyed.select("key", F.col("simhash").alias("a"))
-    right = keyed.select("key", F.col("simhash").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max(config.reach, config.distance)
-    return left.join(right, "key").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    other = keyed.select(F.col("key").alias("_key"), F.col("simhash").alias("_other"))
+    meets = (F.col("key") == F.col("_key")) & (F.col("simhash") != F.col("_other")) & _near("simhash", "_other", config)
+    return stored(keyed.join(other, meets, "left_semi"))
 
 
 def _similar(a: str, b: str, config: LineDedupConfig) -> Column:
@@ -217,13 +223,13 @@ def line_occurrences(docs: DataFrame, row: str, text_col: str, config: LineDedup
     )
 
 
-def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupConfig) -> DataFrame:
+def similar_groups(keyed: DataFrame, texts: DataFrame, config: LineDedupConfig) -> DataFrame:
     """``node, root`` of the groups that verified links make of ``texts`` (``simhash, node, norm``, coded).
 
-    ``candidates`` holds the pairs ``a <= b`` of SimHashes whose lines may be linked. Comparing
-    all their lines would cost the square of a large group of near copies, so it is done in two
-    steps, which give the same groups. First, every line is compared with the least line of its
-    SimHash, and those least lines with each other. Then only lines that are still in different
+    ``keyed`` holds the SimHashes that meet on block keys. Comparing all their lines would cost the
+    square of a large group of near copies, so it is done in two steps, which give the same groups.
+    First, every line is compared with the least line of its SimHash, and the least lines of every
+    SimHash of a key with that of the key's least SimHash. Then only lines that are still in different
     groups are compared, all of them: a link within a group would change nothing.
     """
     hubs = materialize(
@@ -234,18 +240,22 @@ def similar_groups(candidates: DataFrame, texts: DataFrame, config: LineDedupCon
     own = texts.join(hubs, "simhash").filter(F.col("node") != F.col("hub")).filter(_similar_coded("norm", "hub_norm", config))
     first = hubs.select(F.col("simhash").alias("a"), F.col("hub").alias("na"), F.col("hub_norm").alias("ta"))
     second = hubs.select(F.col("simhash").alias("b"), F.col("hub").alias("nb"), F.col("hub_norm").alias("tb"))
-    apart = candidates.filter("a <> b").join(first, "a").join(second, "b").filter(_similar_coded("ta", "tb", config))
+    least = keyed.groupBy("key").agg(F.min("simhash").alias("a"))
+    stars = keyed.join(least, "key").filter((F.col("simhash") != F.col("a")) & _near("simhash", "a", config))
+    apart = stars.select("a", F.col("simhash").alias("b")).distinct().join(first, "a").join(second, "b").filter(_similar_coded("ta", "tb", config))
     links = materialize(
         own.select(F.col("node").alias("na"), F.col("hub").alias("nb")).unionByName(apart.select("na", "nb"))
     )
     groups = connected_components(links, "na", "nb")
     members = texts.join(groups, "node", "left").select("simhash", "node", "norm", F.coalesce("root", "node").alias("group"))
     classes = materialize(members.select("simhash", "group").distinct())
-    open_pairs = materialize(
-        candidates.join(classes.select(F.col("simhash").alias("a"), F.col("group").alias("ga")), "a")
-        .join(classes.select(F.col("simhash").alias("b"), F.col("group").alias("gb")), "b")
-        .filter(F.when(F.col("a") == F.col("b"), F.col("ga") < F.col("gb")).otherwise(F.col("ga") != F.col("gb")))
-    )
+    side = lambda x: classes.select(F.col("simhash").alias(x), F.col("group").alias(f"g{x}"))
+    left = keyed.withColumnRenamed("simhash", "a").join(side("a"), "a")
+    right = keyed.withColumnRenamed("simhash", "b").join(side("b"), "b").withColumnRenamed("key", "_key")
+    apart_still = (F.col("key") == F.col("_key")) & (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb"))
+    across = left.join(right, apart_still & _near("a", "b", config)).select("a", "ga", "b", "gb").distinct()
+    within = side("a").join(side("b"), (F.col("a") == F.col("b")) & (F.col("ga") < F.col("gb"))).select("a", "ga", "b", "gb")
+    open_pairs = materialize(across.unionByName(within))
     if open_pairs.isEmpty():
         return groups
     one = members.select(F.col("simhash").alias("a"), F.col("group").alias("ga"), F.col("node").alias("na"), F.col("norm").alias("ta"))
@@ -274,15 +284,14 @@ def simhash_groups(docs: DataFrame, row: str, text_col: str, lines: DataFrame, c
     """``node, root`` of the lines that SimHashes and edit similarity link."""
     long_lines = lines.filter("simhash is not null")
     groups = long_lines.groupBy("simhash").agg(F.count(F.lit(1)).alias("n"))
-    same = groups.filter("n > 1").select(F.col("simhash").alias("a"), F.col("simhash").alias("b"))
-    candidates = materialize(similar_simhashes(groups.select("simhash"), config).unionByName(same))
-    # Texts are fetched for the lines of candidates only, from the row of their first occurrence.
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("simhash")).distinct()
+    keyed = met_keys(groups.select("simhash"), config)
+    # Texts are fetched for the lines that meet another only, from the row of their first occurrence.
+    wanted = keyed.select("simhash").unionByName(groups.filter("n > 1").select("simhash")).distinct()
     places = stored(
         long_lines.join(wanted, "simhash", "left_semi").select("first", "simhash", F.struct("k1", "k2").alias("node"))
     )
     texts = fetched_lines(docs, row, text_col, places, config)
-    return similar_groups(candidates, stored(texts.withColumn("norm", _coded(F.col("norm")))), config)
+    return similar_groups(keyed, stored(texts.withColumn("norm", _coded(F.col("norm")))), config)
 
 
 def _normal_lines(docs: DataFrame, row: str, text_col: str, config: LineDedupConfig) -> DataFrame:
