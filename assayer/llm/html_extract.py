@@ -1,10 +1,13 @@
 """Main text of web pages by a tree-structured graphical model.
 
 A page is parsed into its element tree. Every element has a hidden state, content or not, with
-a potential from its own features (tag, words of its class, id and role, text and link lengths,
-place) and, for every edge, a potential for the states of parent and child. Sum-product messages
-pass once upward and once downward and give exact marginals. Potentials are trained from
-labelled pages: own potentials by logistic regression, edge potentials from counts.
+a potential from its own features (tag, words of its class, id and role and of the nearest named
+element above, the landmark it lies in, text and link lengths, share of the page's text, paragraphs
+beside and below it) and, for every edge, a potential for the states of parent and child that depends
+on the kind of the child's tag. Sum-product messages pass once upward and once downward and give
+exact marginals. Potentials are trained from labelled pages: own potentials by logistic regression,
+edge potentials from counts. An edge's influence is bounded, so that no depth of wrappers outweighs
+what a paragraph says of itself.
 
 An element's text belongs to the nearest block around it; blocks whose element has a marginal
 over one half are the article. Character references are decoded, white space inside a block
@@ -35,7 +38,7 @@ from assayer.llm.subwords import live
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
-SILENT = frozenset("head script style template noscript svg math object iframe canvas audio video select textarea title".split())
+SILENT = frozenset("head script style template noscript svg object iframe canvas audio video select textarea title".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
@@ -154,7 +157,7 @@ class Page:
         return out
 
 
-FEATURES = 1 << 12
+FEATURES = 1 << 14
 
 
 def _feature(name: str) -> int:
@@ -176,6 +179,23 @@ def _known(name: str) -> int:
     return _KNOWN[name]
 
 
+#: Elements that say what lies in them; the nearest one above is a feature.
+LANDMARKS = frozenset("article main nav aside header footer form dialog".split())
+
+#: Kinds of tags; every kind has an edge potential of its own.
+KINDS = (
+    frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dl dt dd".split()),
+    frozenset("div section center hgroup details summary main article".split()),
+    frozenset("ul ol li menu table thead tbody tfoot tr td th caption".split()),
+    LANDMARKS - {"main", "article"},
+)
+
+
+def tag_kind(tag: str) -> int:
+    """The number of the tag's kind; what is in none is inline."""
+    return next((k for k, tags in enumerate(KINDS) if tag in tags), len(KINDS))
+
+
 def page_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
     """``(element, feature)`` pairs, all of value 1."""
     n = len(page.tags)
@@ -191,13 +211,30 @@ def page_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
     for node in range(n - 1, 0, -1):  # children come after their parents
         own[page.parents[node]] += own[node]
         link[page.parents[node]] += link[node]
+    paragraphs, headings = [0] * n, [0] * n  # among the children
+    landmark, named = ["none"] * n, [()] * n  # the nearest above
+    for node in range(1, n):
+        above, tag = page.parents[node], page.tags[node]
+        paragraphs[above] += tag == "p"
+        headings[above] += tag in ("h1", "h2", "h3")
+        landmark[node] = page.tags[above] if page.tags[above] in LANDMARKS else landmark[above]
+        named[node] = page.names[above] or named[above]
+    whole = max(own[0], 1)
+    few = lambda count: min(count, 7).bit_length()
     rows, cols = [], []
     for node in range(n):
-        size = own[node]
+        size, tag, above = own[node], page.tags[node], max(page.parents[node], 0)
+        kind = tag_kind(tag)
         found = {
-            _known("bias"), _known(f"tag {page.tags[node]}"), *(_known(f"name {w}") for w in page.names[node]),
+            _known("bias"), _known(f"tag {tag}"), *(_known(f"name {w}") for w in page.names[node]),
             _known(f"size {min(size, 4096).bit_length()}"),
             _known(f"links {'none' if size == 0 else 5 * link[node] // size}"),
+            _known(f"in {landmark[node]}"), _known(f"kind {kind} in {landmark[node]}"),
+            *(_known(f"under {w}") for w in named[node]),
+            _known(f"share {kind} {4 * size // whole}"),
+            _known(f"share above {4 * own[above] // whole} links {4 * link[above] // max(own[above], 1)}"),
+            _known(f"beside {kind} {few(paragraphs[above])} {few(headings[above])}"),
+            _known(f"below {kind} {few(paragraphs[node])} {few(headings[node])}"),
         }
         rows += [node] * len(found)
         cols += found
@@ -206,12 +243,12 @@ def page_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class TreeModel:
-    """Log odds per feature, and ``edge[parent state, child state]`` in logs."""
+    """Log odds per feature, and ``edge[child's kind, parent state, child state]`` in logs."""
 
     weights: np.ndarray
     edge: np.ndarray
 
-    def marginals(self, parents: np.ndarray, own: np.ndarray) -> np.ndarray:
+    def marginals(self, parents: np.ndarray, own: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Probability of content of every element; ``own`` has its log odds, parents come first.
 
         Elements of equal depth pass their messages together, up from the deepest and down again.
@@ -226,13 +263,13 @@ class TreeModel:
         up = np.zeros_like(score)  # message from an element to its parent
         gathered = score.copy()
         for level in reversed(levels[1:]):
-            both = self.edge[None] + gathered[level][:, None, :]
+            both = self.edge[kinds[level]] + gathered[level][:, None, :]
             up[level] = np.logaddexp(both[:, :, 0], both[:, :, 1])
             np.add.at(gathered, parents[level], up[level])
         belief = gathered.copy()
         for level in levels[1:]:
             above = belief[parents[level]] - up[level]
-            both = self.edge[None] + above[:, :, None]
+            both = self.edge[kinds[level]] + above[:, :, None]
             belief[level] = gathered[level] + np.logaddexp(both[:, 0], both[:, 1])
         return 1.0 / (1.0 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -500, 500)))
 
@@ -243,12 +280,13 @@ class TreeModel:
         firsts = np.cumsum(sizes) - sizes
         parents = np.full(int(sizes.sum()), -1, np.int64)
         own = np.zeros(len(parents))
+        kinds = np.array([tag_kind(tag) for t in trees for tag in t.tags], np.int64)
         for first, tree in zip(firsts.tolist(), trees):
             n = len(tree.tags)
             parents[first + 1 : first + n] = np.array(tree.parents[1:], np.int64) + first
             rows, cols = page_features(tree)
             own[first : first + n] = np.bincount(rows, self.weights[cols], minlength=n)
-        content = self.marginals(parents, own) > 0.5 if len(parents) else np.zeros(0, bool)
+        content = self.marginals(parents, own, kinds) > 0.5 if len(parents) else np.zeros(0, bool)
         return [join_blocks(t, content[f : f + len(t.tags)]) for f, t in zip(firsts.tolist(), trees)]
 
 
@@ -281,7 +319,7 @@ def join_blocks(page: Page, content: np.ndarray) -> str:
 def train(pages: Sequence[tuple[str, Sequence[bool]]], passes: int = 300, l2: float = 0.02) -> TreeModel:
     """Fit potentials from ``(html, states)`` with one state per element of the parsed tree."""
     rows, cols, truth = [], [], []
-    pairs = np.full((2, 2), 0.5)
+    pairs = np.full((len(KINDS) + 1, 2, 2), 0.5)
     base = 0
     for html, states in pages:
         tree = Page(html)
@@ -292,7 +330,7 @@ def train(pages: Sequence[tuple[str, Sequence[bool]]], passes: int = 300, l2: fl
         cols.append(c)
         truth += [float(s) for s in states]
         for node in range(1, len(states)):
-            pairs[int(states[tree.parents[node]]), int(states[node])] += 1
+            pairs[tag_kind(tree.tags[node]), int(states[tree.parents[node]]), int(states[node])] += 1
         base += len(states)
     row, col, y = np.concatenate(rows), np.concatenate(cols), np.array(truth)
     weights = np.zeros(FEATURES)
@@ -302,9 +340,10 @@ def train(pages: Sequence[tuple[str, Sequence[bool]]], passes: int = 300, l2: fl
         slope = np.bincount(col, (p - y)[row], minlength=FEATURES) / 10 + l2 * weights
         step += slope * slope
         weights -= 0.5 * slope / np.sqrt(step)
-    edge = np.log(pairs / pairs.sum(axis=1, keepdims=True))
+    edge = np.log(pairs / pairs.sum(axis=2, keepdims=True))
     # The child's own share is in its own potential already.
-    return TreeModel(weights, edge - np.log(pairs.sum(axis=0) / pairs.sum()))
+    share = pairs.sum(axis=1, keepdims=True) / pairs.sum(axis=(1, 2), keepdims=True)
+    return TreeModel(weights, edge - np.log(share))
 
 
 def main_text(model: TreeModel, html: Column) -> Column:

@@ -36,6 +36,23 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     """One page as ``(html, states)``."""
     w = _Writer()
 
+    def invented() -> str:
+        """A name that says nothing, or none."""
+        return rng.choice(("", "", f'class="{_words(rng, 1, 1)}"', f'id="{_words(rng, 1, 1)}"'))
+
+    def wrapped(content: bool, *inside) -> None:
+        """The parts in a chain of plain elements, most often none or few, at times very many."""
+        depth = rng.choice((0, 0, 0, 1, 1, 2, 3, 4, 6, 12))
+
+        def level(left: int) -> None:
+            if left:
+                w.put(rng.choice(("div", "div", "div", "section")), content, lambda: level(left - 1), attributes=invented())
+            else:
+                for part in inside:
+                    part()
+
+        level(depth)
+
     def name(*names: str) -> str:
         kind = rng.choice(("class", "class", "id"))
         more = rng.choice(("", "", " box", " wide", " main-2", " x1"))
@@ -55,7 +72,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         if rng.random() < 0.6:
             w.put("nav", False, inner, attributes=rng.choice(("", name("menu", "nav", "navbar"))))
         else:
-            w.put("div", False, inner, attributes=name("menu", "nav", "navigation", "topnav", "breadcrumb"))
+            w.put("div", False, inner, attributes=name("menu", "nav", "navigation", "topnav", "breadcrumb", "menue", "navegacion", "kopf"))
 
     def header() -> None:
         w.put("header", False, lambda: w.put(rng.choice(("h1", "h2", "div", "p")), False, _words(rng, 1, 5)),
@@ -68,19 +85,22 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     def advert() -> None:
         body = lambda: w.put("p", False, _words(rng, 3, 30))
         tag = rng.choice(("div", "div", "aside", "section", "p"))
-        w.put(tag, False, _words(rng, 2, 40) if tag == "p" or rng.random() < 0.6 else body,
-              attributes=name("ad", "ads", "advert", "advertisement", "banner", "promo", "sponsored", "sponsor"))
+        w.put(tag, False, _words(rng, 2, 40) if tag == "p" or rng.random() < 0.5 else body,
+              attributes=name("ad", "ads", "advert", "advertisement", "banner", "promo", "sponsored", "sponsor", "promoted", "commercial",
+                              "werbung", "anzeige", "publicite", "pub", "reclame", "publicidad", "anuncio", "annonce"))
 
     def notice() -> None:
         w.put(rng.choice(("div", "section", "p")), False, _words(rng, 4, 30),
-              attributes=name("cookie", "cookies", "notice", "consent", "alert", "gdpr", "popup", "modal", "banner"))
+              attributes=name("cookie", "cookies", "notice", "consent", "alert", "gdpr", "popup", "modal", "banner",
+                              "hinweis", "avis", "aviso", "warning", "disclaimer"))
 
     def aside() -> None:
         title = lambda: w.put(rng.choice(("h2", "h3", "h4")), False, _words(rng, 1, 4))
         listed = lambda: w.put("ul", False, links)
         plain = lambda: w.put("p", False, _words(rng, 4, 40))
         tag, attributes = ("aside", rng.choice(("", name("sidebar")))) if rng.random() < 0.5 else (
-            "div", name("sidebar", "related", "widget", "share", "social", "recommended", "trending", "tags", "toc"))
+            "div", name("sidebar", "related", "widget", "share", "social", "recommended", "trending", "tags", "toc",
+                        "seitenleiste", "barra", "lateral", "verwandt", "mehr"))
         w.put(tag, False, title, rng.choice((listed, plain, listed)), attributes=attributes)
 
     def footer() -> None:
@@ -92,26 +112,29 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         if rng.random() < 0.7:
             w.put("footer", False, inner, attributes=rng.choice(("", name("footer"))))
         else:
-            w.put("div", False, inner, attributes=name("footer", "copyright", "legal", "bottom"))
+            w.put("div", False, inner, attributes=name("footer", "copyright", "legal", "bottom", "impressum", "pied", "pie", "fuss"))
 
     def comments() -> None:
         def one() -> None:
             w.put(rng.choice(("div", "li", "article")), False, lambda: some(lambda: w.put("span", False, _words(rng, 1, 2), attributes='class="author"')),
-                  lambda: w.put("p", False, _words(rng, 3, 60)), attributes=name("comment", "reply"))
+                  lambda: w.put("p", False, _words(rng, 3, 60)), attributes=name("comment", "reply", "kommentar", "commentaire", "comentario", "antwort"))
         w.put(rng.choice(("section", "div", "ol")), False, lambda: w.put(rng.choice(("h2", "h3")), False, _words(rng, 1, 2)),
-              *[one] * rng.randint(1, 5), lambda: some(search), attributes=name("comments", "discussion", "responses", "comment-list"))
+              *[one] * rng.randint(1, 5), lambda: some(search), attributes=name("comments", "discussion", "responses", "comment-list", "kommentare", "commentaires", "comentarios", "disqus", "replies"))
 
     def inline() -> None:
         for _ in range(rng.randint(1, 4)):
             w.html.append(_words(rng, 1, 30) + " ")
             if rng.random() < 0.3:
                 w.put(rng.choice(("b", "i", "em", "strong", "span", "code", "a", "small", "sup")), True, _words(rng, 1, 8))
+            if rng.random() < 0.05:
+                w.put("math", True, lambda: w.put("mi", True, _words(rng, 1, 1)), lambda: w.put("mo", True, "="), lambda: w.put("mn", True, "2"))
             if rng.random() < 0.1:
                 w.put("br", True)
 
     def paragraph() -> None:
+        attributes = "" if rng.random() < 0.9 else rng.choice((invented(), 'class="ad-free"', 'class="lead intro"', 'class="text"'))
         w.put("p", True, rng.choice((inline, lambda: w.html.append(_words(rng, 1, 90)), lambda: w.put("b", True, _words(rng, 1, 40)),
-                                     lambda: w.html.append(_words(rng, 1, 2)))))
+                                     lambda: w.html.append(_words(rng, 1, 2)))), attributes=attributes)
 
     def body() -> None:
         kind = rng.random()
@@ -123,26 +146,38 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
             w.put(rng.choice(("ul", "ol")), True, *[lambda: w.put("li", True, _words(rng, 1, 25))] * rng.randint(1, 5))
         elif kind < 0.92:
             w.put("blockquote", True, paragraph)
+        elif kind < 0.93:
+            wrapped(True, paragraph, paragraph)
         elif kind < 0.94:
             w.put("pre", True, _words(rng, 2, 30))
-        elif kind < 0.96:
+        elif kind < 0.95:
             cells = [lambda: w.put(rng.choice(("td", "th")), True, _words(rng, 1, 4))] * rng.randint(1, 4)
             w.put("table", True, *[lambda: w.put("tr", True, *cells)] * rng.randint(1, 3))
-        elif kind < 0.98:
+        elif kind < 0.96:
             w.put("figure", True, lambda: w.put("img", True), lambda: w.put("figcaption", True, _words(rng, 2, 12)))
         else:
-            rng.choice((advert, aside))()
+            rng.choice((advert, advert, aside))()
 
     def article() -> None:
         title = lambda: w.put("h1", True, _words(rng, 1, 14))
         parts = [title, *[body] * rng.randint(1, 12)] if rng.random() < 0.85 else [body] * rng.randint(1, 12)
+        if rng.random() < 0.07:
+            parts = [paragraph]
         if rng.random() < 0.15:
             parts.append(comments)
-        if rng.random() < 0.6:
-            w.put("article", True, *parts, attributes=rng.choice(("", "", name("post", "article", "entry"))))
-        else:
+        if rng.random() < 0.3:  # the heading, or nothing, beside a chain of wrappers
+            parts = [*parts[:1], lambda rest=parts[1:]: wrapped(True, *rest)] if rng.random() < 0.7 else [lambda all_=parts: wrapped(True, *all_)]
+        kind = rng.random()
+        if kind < 0.5:
+            w.put("article", True, *parts, attributes=rng.choice(("", "", name("post", "article", "entry"), invented())))
+        elif kind < 0.72:
             w.put(rng.choice(("div", "section", "main")), True, *parts,
                   attributes=name("content", "post", "article", "entry-content", "story", "article-body", "post-body", "text"))
+        elif kind < 0.86:  # a name that says nothing
+            w.put(rng.choice(("div", "div", "section", "main")), True, *parts, attributes=invented())
+        else:  # no element of its own
+            for part in parts:
+                part()
 
     def middle() -> None:
         inside = [article]
@@ -155,13 +190,18 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
                 part()
         elif layout < 0.75:
             w.put("main", False, *inside)
-        else:
+        elif layout < 0.87:
             w.put("div", False, *inside, attributes=name("wrapper", "container", "page", "layout", "row"))
+        else:
+            wrapped(False, *inside)
 
     def page_body() -> None:
         some(notice, header, menu)
         if rng.random() < 0.5:
             advert()
+        if rng.random() < 0.15:  # an article and nothing else
+            article()
+            return
         middle()
         some(footer)
 
@@ -170,10 +210,13 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         w.put("title", False, _words(rng, 1, 8))
         some(lambda: w.put("style", False, "p{margin:0}"), lambda: w.put("script", False, "var a=1;"))
 
-    w.put("html", False, lambda: w.put("head", False, head), lambda: w.put("body", False, page_body))
+    if rng.random() < 0.1:  # a fragment
+        rng.choice((page_body, article))()
+    else:
+        w.put("html", False, lambda: w.put("head", False, head), lambda: w.put("body", False, page_body))
     return "".join(w.html), w.states
 
 
-def labelled_pages(count: int = 400, seed: int = 3) -> list[tuple[str, list[bool]]]:
+def labelled_pages(count: int = 800, seed: int = 3) -> list[tuple[str, list[bool]]]:
     rng = random.Random(seed)
     return [labelled_page(rng) for _ in range(count)]
