@@ -64,6 +64,7 @@ def _shown(v: str) -> str:
         f"case coalesce(json_type({v}), 'NULL') when 'VARCHAR' then {v}->>'$'"
         f" when 'NULL' then 'None' when 'BOOLEAN' then"
         f" (case when cast({v} as varchar) = 'true' then 'True' else 'False' end)"
+        f" when 'DOUBLE' then cast(cast({v} as double) as varchar)"
         f" else cast({v} as varchar) end"
     )
 

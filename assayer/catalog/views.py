@@ -33,7 +33,8 @@ _SCHEMA = f"""case doc_id % 11
    '"description":"  pick   one of ', lang, '  "}}}},"required":[]}}')
  when 6 then concat('{{"required":null,"properties":{{"target":{{"anyOf":[{{"type":"string"}}]}},',
    '"free":{{}},"note":{{"description":', cast(doc_id as string), '}},"flag":true,',
-   '"choice":{{"type":null,"enum":[]}},"many":{{"oneOf":[1.5],"description":" "}}}}}}')
+   '"choice":{{"type":null,"enum":[]}},"many":{{"oneOf":[1.5],"description":" "}},',
+   '"size":{{"enum":[1e20,0.00001,2.50,-1.5e-7,1e16,0.0]}}}}}}')
  when 7 then '{{"properties":{{}},"required":["x"]}}'
  else concat('{{"type":"object","properties":{{"id_', cast(doc_id as string),
    '":{{"type":"integer","description":"row ', cast(doc_id as string), ' in ', lang,

@@ -9,6 +9,9 @@ type of each value.
 
 The expressions are SQL text over column names: they nest deeply, and one parsed text
 costs the driver a fraction of what the same tree costs when built call by call.
+
+A key that a specification repeats keeps its last value if the session lets variants have such keys:
+:func:`assayer.session.keep_last_of_repeated_keys`, which the operators call.
 ``get(transform(array(x), v -> ...), 0)`` evaluates ``x`` once and names it ``v``; common
 subexpressions are not shared inside lambdas.
 """
@@ -91,19 +94,33 @@ def required_names(schema: str) -> Column:
     return F.expr(_required(schema))
 
 
-def _scalar(v: str) -> str:
-    """One JSON value as shown text: ``True``/``False``/``None``, floats with a point."""
+def _float(v: str) -> str:
+    """A JSON number with a point or an exponent, spelled as Python spells a float."""
     number = f"try_variant_get({v}, '$', 'double')"
     # Java writes 1.0E7 from ten million on; the decimal spelling is the plain one.
-    plain = f"regexp_replace(cast(cast({number} as decimal(38,20)) as string), '([.][0-9]+?)0+$', '$1')"
+    plain = "regexp_replace(cast(cast(d as decimal(38,20)) as string), '([.][0-9]+?)0+$', '$1')"
+    power = "cast(regexp_extract(cast(d as string), 'E-?([0-9]+)$', 1) as int)"
+    scientific = (
+        "concat(regexp_replace(cast(d as string), '([.]0)?E.*$', ''),"
+        f" if(abs(d) < 1, 'e-', 'e+'), if({power} < 10, '0', ''), cast({power} as string))"
+    )
+    return _let(number, "d", f"""case
+      when isnan(d) then 'nan' when abs(d) = double('inf') then if(d > 0, 'inf', '-inf')
+      when d = 0 then '0.0'
+      when abs(d) >= 1e-4D and abs(d) < 1e16D then {plain}
+      else {scientific} end""")
+
+
+def _scalar(v: str) -> str:
+    """One JSON value as shown text: ``True``/``False``/``None``, floats with a point or an exponent."""
+    kind = f"schema_of_variant({v})"
+    # A whole number beyond 64 bits is a decimal without places as well.
+    is_float = f"({kind} = 'DOUBLE' or {kind} like 'DECIMAL%' and not ({kind} like '%,0)' and length(cast({v} as string)) > 18))"
     return f"""case
-      when schema_of_variant({v}) = 'STRING' then cast({v} as string)
-      when schema_of_variant({v}) = 'BOOLEAN' then initcap(cast({v} as string))
-      when schema_of_variant({v}) = 'VOID' then 'None'
-      when schema_of_variant({v}) like 'DECIMAL(%,0)' and length(cast({v} as string)) < 19
-        then concat(cast({v} as string), '.0')
-      when schema_of_variant({v}) = 'DOUBLE' and abs({number}) >= 1e-4D and abs({number}) < 1e16D
-        then {plain}
+      when {kind} = 'STRING' then cast({v} as string)
+      when {kind} = 'BOOLEAN' then initcap(cast({v} as string))
+      when {kind} = 'VOID' then 'None'
+      when {is_float} then {_float(v)}
       else cast({v} as string) end"""
 
 

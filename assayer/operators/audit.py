@@ -13,7 +13,7 @@ from assayer.functions import text as X
 from assayer.functions.numeric import round_half_even_1dp, share_pct
 from assayer.labels import LABELS, SPLITS, label_dim, label_id
 from assayer.operators.records import label_word_hits, labelled, with_content_hash
-from assayer.session import materialize
+from assayer.session import keep_last_of_repeated_keys, materialize
 
 
 def split_rows(records: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def missing_counts(records: DataFrame) -> DataFrame:
 
 
 def unparsable_counts(records: DataFrame) -> DataFrame:
+    keep_last_of_repeated_keys(records.sparkSession)
     return records.groupBy("split").agg(
         F.count_if(P.is_unparsable("input_schema")).alias("unparsable_schema")
     )
@@ -83,6 +84,7 @@ def audit_columns(records: DataFrame) -> DataFrame:
     whether the schema was unparsable. White space is collapsed once per text, too: the hash,
     the shown description and the blank flags all come from the collapsed text.
     """
+    keep_last_of_repeated_keys(records.sparkSession)
     collapsed = records.withColumns({
         "_params": P.render_params("input_schema"),
         "_name": X.collapse_ws(F.coalesce("name", F.lit(""))),

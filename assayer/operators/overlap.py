@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions.text import pair_key
 from assayer.labels import SPLITS
+from assayer.operators.membership import may_hold
 from assayer.operators.skew import hot_keys, salted_join
 from assayer.session import materialize
 
@@ -78,14 +79,15 @@ def shared_keys(records: DataFrame, key: str, splits: Sequence[str] = SPLITS) ->
 def held_out_keys(records: DataFrame, key: str, train: str = "train") -> DataFrame:
     """``key, in_train, rows`` of every key outside ``train``, checkpointed.
 
-    It answers two questions, which keys are shared and which are hot, so it is kept: the
-    keys are far smaller than the texts they were computed from.
+    It answers two questions, which keys are shared and which are hot, so it is kept: the keys
+    are far smaller than the texts they were computed from. Only the rows of ``train`` that pass a
+    bitmap of the held-out keys are shuffled: ``train`` may be many times larger.
     """
     is_train = F.col("split") == train
-    per_key = records.groupBy(key).agg(
-        F.max(is_train).alias("in_train"), F.count_if(~is_train).alias("rows")
-    )
-    return materialize(per_key.filter(F.col("rows") > 0))
+    held = materialize(records.filter(~is_train).groupBy(key).agg(F.count(F.lit(1)).alias("rows")))
+    seen = may_hold(records.filter(is_train).select(key), held, key).filter("may_hold").select(key).distinct()
+    found = held.join(seen.withColumn("in_train", F.lit(True)), key, "left")
+    return materialize(found.select(key, F.coalesce("in_train", F.lit(False)).alias("in_train"), "rows"))
 
 
 def mark_lookalikes(
@@ -93,14 +95,17 @@ def mark_lookalikes(
 ) -> DataFrame:
     """Rows outside ``train`` with ``lookalike``: whether their key also occurs in it.
 
-    ``records`` is read twice, so hand in a narrow checkpointed table, not whole texts. The
-    rows of a key with very many copies are spread over salts.
+    ``records`` is read several times, so hand in a narrow checkpointed table, not whole texts. Rows
+    whose key cannot be shared are not shuffled; the rows of a key with very many copies are spread
+    over salts.
     """
     keys = held_out_keys(records, key, train)
     shared = keys.filter("in_train").select(key, F.lit(True).alias("lookalike"))
-    held_out = records.filter(F.col("split") != train)
-    marked = salted_join(held_out, shared, key, hot_keys(keys, key, "rows"), salt_from, "left")
-    return marked.withColumn("lookalike", F.coalesce("lookalike", F.lit(False)))
+    held_out = may_hold(records.filter(F.col("split") != train), shared, key)
+    near = held_out.filter("may_hold").drop("may_hold")
+    far = held_out.filter("not may_hold").drop("may_hold").withColumn("lookalike", F.lit(False))
+    marked = salted_join(near, shared, key, hot_keys(keys, key, "rows"), salt_from, "left")
+    return marked.withColumn("lookalike", F.coalesce("lookalike", F.lit(False))).unionByName(far)
 
 
 def lookalikes(
@@ -111,8 +116,5 @@ def lookalikes(
     keep: bool = True,
 ) -> DataFrame:
     """Only the rows outside ``train`` whose key also occurs in it, or (``keep=False``) does not."""
-    keys = held_out_keys(records, key, train)
-    shared = keys.filter("in_train").select(key)
-    held_out = records.filter(F.col("split") != train)
-    how = "left_semi" if keep else "left_anti"
-    return salted_join(held_out, shared, key, hot_keys(keys, key, "rows"), salt_from, how)
+    marked = mark_lookalikes(records, key, train, salt_from)
+    return marked.filter(F.col("lookalike") == F.lit(keep)).drop("lookalike")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayer.functions import params as P
 from assayer.functions import text as X
 from assayer.labels import LABELS, label_dim, label_encode
-from assayer.session import materialize
+from assayer.session import keep_last_of_repeated_keys, materialize
 
 # Columns that tell which group a record came from; no model may see them.
 GROUP_COLUMNS = ("server_slug", "slug", "server_name", "server_description")
@@ -36,10 +36,12 @@ def errors_only(scored: DataFrame) -> DataFrame:
 
 
 def with_params_text(records: DataFrame) -> DataFrame:
+    keep_last_of_repeated_keys(records.sparkSession)
     return records.withColumn("params_text", P.render_params("input_schema"))
 
 
 def with_input_text(records: DataFrame) -> DataFrame:
+    keep_last_of_repeated_keys(records.sparkSession)
     text = X.input_text(F.col("name"), F.col("description"), P.render_params("input_schema"))
     return records.withColumn("input_text", text)
 
@@ -54,6 +56,7 @@ def params_table(records: DataFrame, keys: Sequence[str] = ("record_id",)) -> Da
     ``position`` counts from 0 and is not capped; a record that is not a JSON object or
     declares nothing gives no rows.
     """
+    keep_last_of_repeated_keys(records.sparkSession)
     parsed = records.select(*keys, P.parse_schema("input_schema").alias("_schema"))
     listed = parsed.select(
         *keys,

@@ -27,6 +27,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def keep_last_of_repeated_keys(spark: SparkSession) -> None:
+    """Let JSON objects that repeat a key be read; the last value counts, as in most JSON readers."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from assayer.labels import LABELS
-from assayer.operators import audit, errors, overlap, splitting, tfidf
+from assayer.operators import audit, errors, membership, overlap, splitting, tfidf
 from assayer.operators import records as R
 from assayer.operators.model import (
     MacroF1Evaluator,
@@ -373,3 +373,24 @@ def test_lookalikes_partition_the_held_out_rows(spark, records):
     marked = overlap.mark_lookalikes(hashed, "content_hash")
     assert marked.filter("lookalike").select("record_id").exceptAll(like.select("record_id")).isEmpty()
     assert marked.filter("not lookalike").select("record_id").exceptAll(clean.select("record_id")).isEmpty()
+
+
+def test_membership_loses_no_key_and_lets_few_others_pass(spark):
+    keys = spark.range(0, 20_000, 2).select(F.col("id").cast("string").alias("k"))
+    rows = spark.range(40_000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("_row_"))
+    got = membership.may_hold(rows, keys, "k")
+    assert got.count() == 40_000
+    assert got.filter("cast(k as int) < 20000 and cast(k as int) % 2 = 0 and not may_hold").isEmpty()
+    assert got.filter("may_hold").count() < 10_000 + 30_000 / 8
+    assert membership.may_hold(rows, keys.limit(0), "k").filter("may_hold").isEmpty()
+    assert membership.bits_for(0) == membership.ROW_BITS and membership.bits_for(1 << 40) == membership.MAX_BITS
+
+
+def test_lookalikes_with_null_repeated_and_hot_keys(spark):
+    rows = [(i, "train", f"t{i}") for i in range(200)] + [(i, "test", "t7") for i in range(200, 500)]
+    rows += [(500, "test", None), (501, "train", None), (502, "validation", "only"), (503, "validation", "t9"), (503, "validation", "t9")]
+    table = spark.createDataFrame(rows, "ordinal bigint, split string, h string")
+    got = [(r.ordinal, r.lookalike) for r in overlap.mark_lookalikes(table, "h").collect()]
+    assert sorted(got) == sorted((i, h in ("t7", "t9")) for i, s, h in rows if s != "train")
+    assert overlap.mark_lookalikes(table.limit(0), "h").isEmpty()
+    assert overlap.held_out_keys(table, "h").count() == 4

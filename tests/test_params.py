@@ -68,7 +68,7 @@ def test_lines(spark):
             "- x (a, optional) enum[True, None, 1.0, 2.5, s, 7]",
         schema({"x": {"type": "a", "enum": [1, 2, 3, 4, 5, 6, 7]}}): "- x (a, optional) enum[1, 2, 3, 4, 5, 6]",
         schema({"x": {"type": "a", "enum": [False, 12345678901, -0.5, 1e20]}}):
-            "- x (a, optional) enum[False, 12345678901, -0.5, 1.0E20]",
+            "- x (a, optional) enum[False, 12345678901, -0.5, 1e+20]",
         schema({"x": {"type": "a", "description": "  many   words\n"}}): "- x (a, optional): many words",
         schema({"x": {"type": "a", "description": " \t"}}): "- x (a, optional)",
         schema({"x": {"type": "a", "description": 5}}): "- x (a, optional)",
@@ -106,3 +106,18 @@ def test_table_and_text_agree(spark):
     rendered = {str(i): t for i, t in enumerate(render(spark, texts))}
     assert {k: "\n".join(v) for k, v in grouped.items()} == {k: rendered[k] for k in grouped}
     assert set(grouped) == {"0", "3"}
+
+
+def test_floats_as_python_spells_them(spark):
+    values = ["1e20", "0.00001", "2.50", "-1.5e-7", "1e16", "0.0", "123456789012345678.0", "0.0001", "1e-4", "9999999999999998.0",
+              "1.25e300", "12345678901234567890", "-7", "1e2", "0.1", "3.0e5", "10000000.0", "0.30000000000000004"]
+    texts = ['{"properties":{"x":{"type":"a","enum":[%s]}}}' % v for v in values]
+    want = [f"- x (a, optional) enum[{json.loads(v)}]" for v in values]
+    assert render(spark, texts) == want
+
+
+def test_repeated_keys_in_one_specification(spark):
+    text = '{"properties":{"x":{"type":"a","enum":[1],"type":"b","enum":[2]},"y":{"type":"c"}}}'
+    df = R.with_params_text(rows(spark, [text]))
+    assert df.first().params_text == "- x (b, optional) enum[2]\n- y (c, optional)"
+    assert [r.line for r in R.params_table(rows(spark, [text])).orderBy("position").collect()] == df.first().params_text.split("\n")
