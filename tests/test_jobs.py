@@ -22,6 +22,7 @@ from assayer.operators.model import (
 from assayer.operators.scoring import batched_scorer
 from assayer.operators.skew import hot_keys, salted_join
 from assayer.plans import jobs
+from assayer.session import materialize
 from assayer.sinks import files
 from assayer.sources import records as S
 
@@ -394,3 +395,23 @@ def test_lookalikes_with_null_repeated_and_hot_keys(spark):
     assert sorted(got) == sorted((i, h in ("t7", "t9")) for i, s, h in rows if s != "train")
     assert overlap.mark_lookalikes(table.limit(0), "h").isEmpty()
     assert overlap.held_out_keys(table, "h").count() == 4
+
+
+def test_tfidf_stores_the_vocabulary_only_and_places_rows_once(spark, texts, monkeypatch):
+    stored = []
+    monkeypatch.setattr(tfidf, "materialize", lambda df: stored.append(df.columns) or materialize(df))
+    weights = tfidf.tfidf(texts.unionByName(texts.limit(9)), "record_id", "text")
+    assert stored == [["term", "df", "idf"]]
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(record_id") == 1 and "hashpartitioning(term" not in plan
+    assert max(r.df for r in weights.collect()) <= texts.select("record_id").distinct().count()
+
+
+def test_terms_are_counted_within_the_row_where_ids_differ(spark):
+    rows = [(1, "red red blue red blue sky"), (2, ""), (3, None), (4, "a b"), (None, "sky sky")]
+    docs = spark.createDataFrame(rows, "id int, text string")
+    plan = tfidf.term_counts(docs, "id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    both = [sorted(map(str, tfidf.term_counts(docs, "id", "text", repeat).collect())) for repeat in (None, False, True)]
+    assert both[0] == both[1] == both[2] and "Row(id=1, term='red', n=3)" in both[0] and len(both[0]) == 9
+    assert not tfidf.ids_repeat(docs, "id") and tfidf.ids_repeat(docs.union(docs.limit(1)), "id")
