@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.llm.subwords import WordSums, live, subword_buckets
+from assayer.llm.subwords import WordSums, live, pieces, subword_buckets
 from assayer.llm.tables import labelled_sample
 
 WORDS = re.compile(r"\w+")
@@ -78,7 +78,7 @@ class ToxicityModel:
         return score
 
 
-def _sums_by(values: np.ndarray, order: np.ndarray, starts: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
+def _sums_by(values: np.ndarray, order: np.ndarray | slice, starts: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
     """Rows of ``values`` summed by key; ``order`` sorts by key, ``starts`` begins each run."""
     out = np.zeros((size, values.shape[1]), values.dtype)
     if len(starts):
@@ -86,8 +86,12 @@ def _sums_by(values: np.ndarray, order: np.ndarray, starts: np.ndarray, keys: np
     return out
 
 
-def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+def _runs(keys: np.ndarray) -> tuple[np.ndarray | slice, np.ndarray, np.ndarray]:
+    """Order, starts and keys of the runs; keys that come sorted need no copy of what they order."""
+    if (keys[1:] >= keys[:-1]).all():
+        order = slice(None)
+    else:
+        order = np.argsort(keys, kind="stable").astype(np.int32)
     found, starts = np.unique(keys[order], return_index=True)
     return order, starts, found
 
@@ -101,19 +105,30 @@ def train(rows: Sequence[tuple[str, int]], config: ToxicityConfig = ToxicityConf
         return ToxicityModel(config, np.zeros(1 << config.bits, np.float64), logit)
     places: dict[str, int] = {}
     doc_of, word_of, share_of = [], [], []
-    tokens = [WORDS.findall(text.lower()) for text, _ in rows]
-    seen = Counter(w for words in tokens for w in set(words))
-    for doc, words in enumerate(tokens):
-        ids, counts = np.unique(
-            np.array([places.setdefault(w, len(places)) for w in words if seen[w] >= config.min_texts], np.int64),
-            return_counts=True,
-        )
-        doc_of.append(np.full(len(ids), doc))
-        word_of.append(ids)
-        share_of.append(counts / max(len(words) + config.neutral_words, 1))
+    # Texts are cut twice, piece by piece: the words of the whole sample would take ten times its memory on the driver.
+    seen: Counter[str] = Counter()
+    for text, _ in rows:
+        seen.update(set().union(*map(WORDS.findall, pieces(text.lower(), BREAKS))))
+    often = {w for w, n in seen.items() if n >= config.min_texts}
+    del seen
+    sizes = np.zeros((len(rows), 1), np.float32)
+    for doc, (text, _) in enumerate(rows):
+        counted: Counter[str] = Counter()
+        size = 0
+        for part in pieces(text.lower(), BREAKS):
+            words = WORDS.findall(part)
+            size += len(words)
+            counted.update(w for w in words if w in often)
+        ids = np.fromiter((places.setdefault(w, len(places)) for w in counted), np.int32, len(counted))
+        order = np.argsort(ids)
+        doc_of.append(np.full(len(ids), doc, np.int32))
+        word_of.append(ids[order])
+        times = np.fromiter(counted.values(), np.int64, len(counted))[order]
+        share_of.append((times / max(size + config.neutral_words, 1)).astype(np.float32))
+        sizes[doc] = size
     doc, word = np.concatenate(doc_of), np.concatenate(word_of)
-    share = np.concatenate(share_of).astype(np.float32)[:, None]
-    sizes = np.array([len(words) for words in tokens], np.float32)[:, None]
+    share = np.concatenate(share_of)[:, None]
+    del doc_of, word_of, share_of, often
     prior = np.float32(config.neutral_words) / np.maximum(sizes + np.float32(config.neutral_words), 1)
     owner, bucket = subword_buckets(list(places), config.n_min, config.n_max, config.bits)
     used, bucket = np.unique(bucket, return_inverse=True)
