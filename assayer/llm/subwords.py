@@ -13,23 +13,31 @@ from itertools import chain
 from types import ModuleType
 
 import numpy as np
+from pyspark import TaskContext
 
 _STEP = np.uint32(16_777_619)
 _SPREAD = np.uint32(0x9E37_79B1)
 # Texts are cut into tokens this many characters at a time, so a huge text needs no huge list.
 PIECE_CHARS = 1 << 20
 
+
 def live(key: str, make: Callable[[], object], most: int = 4):
-    """The scorer of a model in use; a Python worker that runs several tasks keeps a few of them.
+    """The scorer of a model in use; a Python worker that runs several tasks keeps it for the next of them.
 
-    This module's own globals are new in every task, so scorers are kept in a module by name.
+    Before a task makes a new one, those that only earlier tasks used go, so that a worker never holds
+    the tables of several stages. This module's own globals are new in every task, so scorers are kept in a module by name.
     """
     kept = sys.modules.setdefault("_assayer_live", ModuleType("_assayer_live")).__dict__.setdefault("kept", {})
+    context = TaskContext.get()
+    task = context.taskAttemptId() if context else None
     if key not in kept:
+        for old in [k for k, (last, _) in kept.items() if last != task]:
+            del kept[old]
         while len(kept) >= most:
             del kept[next(iter(kept))]
-        kept[key] = make()
-    return kept[key]
+        kept[key] = (task, make())
+    kept[key] = (task, kept[key][1])
+    return kept[key][1]
 
 
 def pieces(text: str, break_at: re.Pattern, size: int = PIECE_CHARS) -> Iterator[str]:
